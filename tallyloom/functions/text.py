@@ -16,16 +16,14 @@ SPACE = (
     r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# What is removed or spelled out, in this order.
-URL = rf"(?:http|www)[^{SPACE}]+"
+# What is removed or spelled out, in this order. A lookahead in front lets
+# the scan skip quickly over characters no match can start with.
+URL = rf"(?=[hw])(?:http|www)[^{SPACE}]+"
 TAG = r"<[^>\n]*>"
 CURRENCIES = (("$", " dollar "), ("€", " euro "), ("£", " pound "))
-NUMBER_SUFFIXES = (
-    (rf"(?<![{WORD}])(\p{{Nd}}+)%", "$1 percent"),
-    (rf"(?<![{WORD}])(\p{{Nd}}+)k(?![{WORD}])", "$1 thousand"),
-    (rf"(?<![{WORD}])(\p{{Nd}}+)m(?![{WORD}])", "$1 million"),
-    (rf"(?<![{WORD}])(\p{{Nd}}+)b(?![{WORD}])", "$1 billion"),
-)
+PERCENT = rf"(?=\p{{Nd}})(?<![{WORD}])(\p{{Nd}}+)%"
+AMOUNT = rf"(?=\p{{Nd}})(?<![{WORD}])(\p{{Nd}}+)([kmb])(?![{WORD}])"
+UNITS = (("k", " thousand"), ("m", " million"), ("b", " billion"))
 NOT_KEPT = rf"[^{WORD}.,!?$%\-]+"
 
 
@@ -37,8 +35,12 @@ def clean_text(text: Column) -> Column:
     out = F.regexp_replace(out, TAG, "")
     for symbol, name in CURRENCIES:
         out = F.replace(out, F.lit(symbol), F.lit(name))
-    for pattern, replacement in NUMBER_SUFFIXES:
-        out = F.regexp_replace(out, pattern, replacement)
+    out = F.regexp_replace(out, PERCENT, "$1 percent")
+    # One pass finds the amounts and marks their unit with "$", which no text holds any
+    # more at this point.
+    out = F.regexp_replace(out, AMOUNT, r"$1\$$2")
+    for letter, name in UNITS:
+        out = F.replace(out, F.lit("$" + letter), F.lit(name))
     # Dropped characters turn into spaces and runs of spaces into one, so a run of
     # either kind is replaced in a single pass over the text.
     return F.trim(F.regexp_replace(out, NOT_KEPT, " "))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.correlation import PairSums, metric as metric_named
+from tallyloom.settings import written_table
 
 
 def search_titles(items: DataFrame, text: str, like: bool = False) -> DataFrame:
@@ -143,22 +144,25 @@ def all_pairs_similarity(
     Work is kept in bounds without leaving out results:
 
     * An item with fewer than ``min_common`` raters is in no result pair and is dropped.
-    * A user with more than ``busy_degree`` such items is busy. The busiest
-      ``min_common - 1`` of them never have their pairs listed: together they fall short
-      of ``min_common``, so each result pair is also listed by some other user. They are
-      added to those pairs afterwards, from one small map per item.
+    * A user with more than ``busy_degree`` items is busy. The busiest ``min_common - 1``
+      of them never have their pairs listed: together they fall short of ``min_common``,
+      so each result pair is also listed by some other user. They are added to those
+      pairs afterwards, from one small map per item.
     * Further busy users are split: their items are spread over groups of about
       ``busy_degree``, and each group meets all items of that user.
+
+    The collapsed ratings are written to the scratch folder first (one job), as the join
+    reads them several times; the rest is lazy.
     """
     score_of = metric_named(metric)
-    rated = one_rating_per_item(ratings.where(
+    rated = written_table(one_rating_per_item(ratings.where(
         F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
-        & F.col("rating").isNotNull()))
-    popular = (rated.groupBy("item_id").agg(F.count("rating").alias("raters"))
+        & F.col("rating").isNotNull())), "rated")
+    popular = (rated.groupBy("item_id").agg(F.count("*").alias("raters"))
                .where(F.col("raters") >= min_common).select("item_id"))
     kept = rated.join(popular, "item_id", "left_semi")
 
-    busy = (kept.groupBy("user_id").agg(F.count("rating").alias("degree"))
+    busy = (rated.groupBy("user_id").agg(F.count("*").alias("degree"))
             .where(F.col("degree") > busy_degree))
     busiest = (busy.orderBy(F.desc("degree"), "user_id").limit(min_common - 1)
                .select("user_id", F.lit(True).alias("is_busiest")))
@@ -176,9 +180,10 @@ def all_pairs_similarity(
         "user_id", F.col("item_id").alias("item_b"), F.col("rating").alias("y"),
         F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("part"))
     # The sums are taken in the stage of the join: pairs are never written or shuffled
-    # one by one.
+    # one by one. The join is spread by key however small its inputs are, since the work
+    # grows with the pairs.
     pairs = (
-        left.join(right, ["user_id", "part"]).where(F.col("item_a") < F.col("item_b"))
+        left.hint("merge").join(right, ["user_id", "part"]).where(F.col("item_a") < F.col("item_b"))
         .groupBy("item_a", "item_b").agg(*list_sums())
     )
 

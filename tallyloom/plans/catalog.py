@@ -143,7 +143,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "all_pairs_similarity_split": lambda t: sim.all_pairs_similarity(
         t.ratings_repeated(), min_common=10, threshold=0.8, digits=9, top_n=50, busy_degree=20),
     "all_pairs_pearson": lambda t: sim.all_pairs_similarity(
-        t.ratings_dense(), metric="pearson", **FIXTURE_SIMILARITY),
+        t.ratings_dense(), metric="pearson", min_common=10, threshold=0.0512345, digits=9),
     # articles
     "article_title": lambda t: captured(t).select("url", "title"),
     "article_extract": captured,

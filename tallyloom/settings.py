@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the operators are written for. ANSI mode stays at Spark 4's default (on).
 # The two Arrow limits bound the memory of one Python batch, since one HTML page can
@@ -55,3 +55,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written_table(table: DataFrame, label: str) -> DataFrame:
+    """The same rows, read back from a table in the shared scratch folder.
+
+    For intermediate results that are read several times or feed an expensive step: they
+    survive the loss of an executor, and Spark knows their real size.
+    """
+    path = scratch_path(table.sparkSession, label)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
