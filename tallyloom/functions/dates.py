@@ -23,9 +23,10 @@ def with_offset(text: Column) -> Column:
 def iso_timestamp(text: Column) -> Column:
     """Timestamp of an ISO date, NULL for anything else. Never fails in ANSI mode."""
     spelled = with_offset(text)
-    # Spark's parser wants minutes after the hour.
-    full = F.regexp_replace(spelled, r"^(\S{10}[T ]\d{2})($|[+-])", "$1:00$2")
-    return F.when(spelled.rlike(ISO_DATE), F.try_to_timestamp(full))
+    # Spark's parser wants minutes and seconds in front of an offset.
+    for time in (r"\d{2}", r"\d{2}:\d{2}"):
+        spelled = F.regexp_replace(spelled, rf"^(\S{{10}}[T ]{time})($|[+-])", "$1:00$2")
+    return F.when(with_offset(text).rlike(ISO_DATE), F.try_to_timestamp(spelled))
 
 
 def publish_time(text: Column, ingested_at: dt.datetime) -> Column:

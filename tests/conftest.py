@@ -32,7 +32,8 @@ def new_path():
 
 
 def plan_of(frame) -> str:
-    return frame._jdf.queryExecution().executedPlan().toString()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0]
 
 
 def values(frame, *columns):
