@@ -69,9 +69,9 @@ def validate_table(
     profile = table_profile(table, unique_columns or ()).collect()  # one row per column
     rows = profile[0]["row_count"]
     if rows < min_rows:
-        raise ValueError(f"{name} has insufficient data: {rows} rows")
+        raise ValueError(f"{name}: {rows} rows, at least {min_rows} expected")
     if missing:
-        raise ValueError(f"{name} is missing columns: {missing}")
+        raise ValueError(f"{name}: no columns {missing}")
     for line in profile:
         if line["duplicates"]:
             logger.warning("%s: column %s has %d duplicate values",

@@ -21,12 +21,6 @@ def mean_age_by_occupation(users: DataFrame) -> DataFrame:
             .orderBy("occupation"))
 
 
-def mean_age_lines(users: DataFrame) -> DataFrame:
-    """The same report as printable lines."""
-    return mean_age_by_occupation(users).select(
-        "occupation", F.format_string("%s: %.1f", "occupation", "mean_age").alias("line"))
-
-
 def item_rating_stats(ratings: DataFrame) -> DataFrame:
     """Number of ratings and mean rating of every rated item."""
     return ratings.groupBy("item_id").agg(

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.functions.text import clean_text
+from tallyloom.functions.text import clean_text, preview
 from tallyloom.operators import articles as art
 from tallyloom.operators import quality, ratings as rat, sentiment, similarity as sim
 from tallyloom.plans.fixtures import INGESTED_AT, RUN_AT, TICKERS, Tables
-from tallyloom.plans.reports import ratings_bundle
+from tallyloom.plans import reports
 from tallyloom.settings import scratch_path
 from tallyloom.sources import delimited, results
 
@@ -100,7 +100,7 @@ def rated_stats(t: Tables) -> DataFrame:
 
 def bundle(t: Tables) -> DataFrame:
     similar = {"metric": "cosine", "min_common": 2, "threshold": 0.5, "digits": 9}
-    return ratings_bundle(
+    return reports.ratings_bundle(
         t.ratings(), t.items(), t.users(), "small ring", similar=similar, digits=9)
 
 
@@ -114,15 +114,20 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "scan_items": scan_items,
     "scan_users": scan_users,
     "occupation_mean_age": lambda t: rat.mean_age_by_occupation(t.users()),
-    "occupation_mean_age_fmt": lambda t: rat.mean_age_lines(t.users()),
+    "occupation_mean_age_fmt": lambda t: reports.mean_age_lines(
+        rat.mean_age_by_occupation(t.users())),
     "item_rating_stats": lambda t: rat.item_rating_stats(t.ratings()),
     "top_rated_items": lambda t: rat.top_rated_items(t.ratings(), t.items()),
+    "top_rated_items_fmt": lambda t: reports.top_rated_lines(
+        rat.top_rated_items(t.ratings(), t.items())),
     "age_group": lambda t: rat.with_age_group(t.users()),
     "age_group_strict": lambda t: rat.with_age_group(t.users(), under_20="under 20"),
     "genre_melt": lambda t: rat.item_genres(t.items()),
     "genre_stats": lambda t: rat.genre_stats(t.ratings(), t.items(), t.users()),
     "genre_by_demographic": lambda t: rat.genre_ranking(t.ratings(), t.items(), t.users()),
     "genre_topk": lambda t: rat.genre_ranking(t.ratings(), t.items(), t.users(), top_k=3),
+    "genre_by_demographic_fmt": lambda t: reports.genre_lines(
+        rat.genre_ranking(t.ratings(), t.items(), t.users())),
     # similarity
     "title_search": lambda t: sim.search_titles(t.items(), "RING"),
     "title_search_like": lambda t: sim.search_titles(t.items(), "R_d", like=True),
@@ -133,6 +138,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "similarity_stats": similarity_stats,
     "item_similarity": lambda t: sim.item_similarity(
         t.ratings_dense(), t.items_dense(), TARGET, **FIXTURE_SIMILARITY),
+    "item_similarity_fmt": lambda t: reports.similar_lines(sim.item_similarity(
+        t.ratings_dense(), t.items_dense(), TARGET, **FIXTURE_SIMILARITY)),
     "item_similarity_cosine": lambda t: sim.item_similarity(
         t.ratings_dense(), t.items_dense(), TARGET, metric="cosine",
         **FIXTURE_SIMILARITY | {"threshold": 0.8}),
@@ -147,6 +154,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # articles
     "article_title": lambda t: captured(t).select("url", "title"),
     "article_extract": captured,
+    "article_preview": lambda t: captured(t).select(
+        "url", preview(F.col("title")).alias("title")),
     "article_quarantine": lambda t: art.quarantined_pages(
         art.parse_pages(t.pages_damaged(), "captured", INGESTED_AT)),
     "article_published": lambda t: art.with_publish_time(

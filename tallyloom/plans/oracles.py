@@ -187,6 +187,9 @@ QUERIES = {
         SELECT item_id, count(*) AS rating_count, avg(rating) AS avg_rating
         FROM ratings GROUP BY item_id""",
     "top_rated_items": "SELECT title, avg_rating, rating_count FROM top_items",
+    "top_rated_items_fmt": """
+        SELECT printf('%s: %.2f (%d ratings)', title, avg_rating, rating_count) AS line
+        FROM top_items""",
     "age_group": "SELECT user_id, age, gender, occupation, age_group FROM grouped_users",
     "age_group_strict": """
         SELECT user_id, age, gender, occupation,
@@ -196,6 +199,10 @@ QUERIES = {
     "genre_stats": "SELECT * FROM genre_means",
     "genre_by_demographic": f"SELECT {GENRE_COLUMNS} FROM ranked_genres WHERE rank = 1",
     "genre_topk": f"SELECT {GENRE_COLUMNS} FROM ranked_genres WHERE rank <= 3",
+    "genre_by_demographic_fmt": """
+        SELECT occupation, printf('  Age Group %-12s : %-12s (Avg Rating: %.2f, Count: %d)',
+                                  age_group, genre, avg_rating, rating_count) AS line
+        FROM ranked_genres WHERE rank = 1""",
     # similarity
     "title_search": """
         SELECT movie_id, title FROM items WHERE contains(lower(title), 'ring')""",
@@ -220,6 +227,9 @@ QUERIES = {
                min(strength) AS min_common_users, max(strength) AS max_common_users
         FROM ({metrics_of('ratings_dense', 1, PEARSON)})""",
     "item_similarity": similar_to("ratings_dense", "items_dense", 1, PEARSON, 10, 0.05),
+    "item_similarity_fmt": "SELECT printf('%-50s score: %-50s strength: %d', title, "
+                           "CAST(score AS VARCHAR), strength) AS line FROM ("
+                           + similar_to("ratings_dense", "items_dense", 1, PEARSON, 10, 0.05) + ")",
     "item_similarity_cosine": similar_to("ratings_dense", "items_dense", 1, COSINE, 10, 0.8),
     "item_similarity_deduped": similar_to("ratings_dense", "items_dense", 1, PEARSON, 10, 0.05),
     "all_pairs_similarity": f"{all_pairs(PAIR_COSINE, 0.8)} {TOP_PAIRS}",
@@ -227,6 +237,7 @@ QUERIES = {
     "all_pairs_pearson": all_pairs(PAIR_PEARSON, 0.0512345),
     # articles
     "article_title": f"SELECT url, {page_title('html')} AS title FROM pages",
+    "article_preview": "SELECT url, substr(title, 1, 50) AS title FROM page_articles",
     "article_extract": "SELECT * FROM page_articles",
     "article_quarantine": """
         SELECT url, 'captured' AS source,

@@ -1,4 +1,4 @@
-"""The two end-to-end plans: the bundle of ratings reports, and the article pipeline."""
+"""Finished reports: as printable lines, as one document, and the whole article pipeline."""
 
 from __future__ import annotations
 
@@ -10,6 +10,38 @@ from pyspark.sql import functions as F
 from tallyloom.operators import articles, ratings as reports, sentiment, similarity
 
 
+# How the reports are printed.
+AGE_LINE = "%s: %.1f"
+TOP_LINE = "%s: %.2f (%d ratings)"
+GENRE_LINE = "  Age Group %-12s : %-12s (Avg Rating: %.2f, Count: %d)"
+SIMILAR_LINE = "%-50s score: %-50s strength: %d"
+
+
+def half_even(name: str, digits: int) -> Column:
+    """A mean that lies exactly between two printable values goes to the even one."""
+    return F.bround(F.col(name), digits)
+
+
+def mean_age_lines(mean_ages: DataFrame) -> DataFrame:
+    return mean_ages.select("occupation", F.format_string(
+        AGE_LINE, "occupation", half_even("mean_age", 1)).alias("line"))
+
+
+def top_rated_lines(top_items: DataFrame) -> DataFrame:
+    return top_items.select(F.format_string(
+        TOP_LINE, "title", half_even("avg_rating", 2), "rating_count").alias("line"))
+
+
+def genre_lines(ranking: DataFrame) -> DataFrame:
+    return ranking.select("occupation", F.format_string(
+        GENRE_LINE, "age_group", "genre", half_even("avg_rating", 2), "rating_count").alias("line"))
+
+
+def similar_lines(similar: DataFrame) -> DataFrame:
+    return similar.select(F.format_string(
+        SIMILAR_LINE, "title", F.col("score").cast("string"), "strength").alias("line"))
+
+
 def report_rows(report: DataFrame, order: list[Column], fields: list[Column]) -> Column:
     """All rows of a finished report as one array, in a stated order."""
     keyed = F.struct(*[key.alias(f"k{i}") for i, key in enumerate(order)],
@@ -34,6 +66,7 @@ def ratings_bundle(
     def mean(name: str) -> Column:
         return c(name) if digits is None else F.round(c(name), digits).alias(name)
 
+    # The names of the reports and of their columns.
     document = {
         "top_movies": report_rows(
             reports.top_rated_items(ratings, items, min_ratings, top_n),

@@ -72,6 +72,11 @@ def write_jdbc(table: DataFrame, url: str, name: str, properties: dict[str, str]
     table.write.jdbc(url, name, mode="append", properties=properties)
 
 
+def read_jdbc(spark: SparkSession, url: str, name: str, properties: dict[str, str]) -> DataFrame:
+    """A database table as a source, for example the stored scores."""
+    return spark.read.jdbc(url, name, properties=properties)
+
+
 def write_bundle(bundle: DataFrame, path: str) -> None:
     """Write a one-row document as text."""
     bundle.select("document").write.mode("overwrite").text(path)

@@ -39,11 +39,11 @@ def test_validation(spark, caplog):
     with caplog.at_level(logging.WARNING):
         assert quality.validate_table(table, "t", ["k"], unique_columns=["k"])
     assert "column k has 1 duplicate" in caplog.text and "column v has 1 null" in caplog.text
-    with pytest.raises(ValueError, match="insufficient data: 0 rows"):
+    with pytest.raises(ValueError, match="t: 0 rows, at least 1"):
         quality.validate_table(table.where("false"), "t", ["k"])
-    with pytest.raises(ValueError, match="insufficient data: 2 rows"):
+    with pytest.raises(ValueError, match="t: 2 rows, at least 3"):
         quality.validate_table(table, "t", ["nowhere"], min_rows=3)
-    with pytest.raises(ValueError, match="missing columns: \\['nowhere'\\]"):
+    with pytest.raises(ValueError, match="t: no columns \\['nowhere'\\]"):
         quality.validate_table(table, "t", ["k", "nowhere"])
     assert quality.validate_table(table.where("false"), "t", ["k"], min_rows=0)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import schemas
 from tallyloom.operators import ratings as reports
+from tallyloom.plans import reports as lines
 
 RATINGS = "user_id int, item_id int, rating double"
 USERS = "user_id int, age int, occupation string"
@@ -17,7 +18,8 @@ def test_mean_age_ignores_missing_ages_and_keeps_missing_occupations(spark):
         [(1, 20, "b"), (2, 31, "b"), (3, None, "b"), (4, 50, None), (5, None, "a")], USERS)
     assert values(reports.mean_age_by_occupation(users), "occupation", "mean_age") == [
         (None, 50.0), ("a", None), ("b", 25.5)]
-    line = reports.mean_age_lines(users.where("occupation = 'b'")).first()["line"]
+    line = lines.mean_age_lines(
+        reports.mean_age_by_occupation(users.where("occupation = 'b'"))).first()["line"]
     assert line == "b: 25.5"
 
 
@@ -56,6 +58,20 @@ def test_age_groups(spark, age, group):
     assert values(reports.with_age_group(users, under_20="under 20"), "age_group") == [strict]
 
 
+def test_lines(spark):
+    top = spark.createDataFrame([("t", 3.125, 35)], "title string, avg_rating double, rating_count long")
+    assert values(lines.top_rated_lines(top), "line") == [f"t: {3.125:.2f} (35 ratings)"]
+    ranking = spark.createDataFrame([("o", "20-25", "War", 4.5, 2)],
+                                    "occupation string, age_group string, genre string, "
+                                    "avg_rating double, rating_count long")
+    assert values(lines.genre_lines(ranking), "line") == [
+        "  Age Group 20-25        : War          (Avg Rating: 4.50, Count: 2)"]
+    similar = spark.createDataFrame([("t", 0.9819256006071412, 56)],
+                                    "title string, score double, strength long")
+    assert values(lines.similar_lines(similar), "line") == [
+        f"{'t':<50} score: {0.9819256006071412:<50} strength: 56"]
+
+
 def flagged_items(spark, flags):
     rows = [tuple([movie_id, "t", None, None, None] + [int(name in names) for name in
                    ("unknown", *schemas.GENRES)]) for movie_id, names in flags.items()]

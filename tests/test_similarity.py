@@ -191,3 +191,14 @@ def test_target_filter_reaches_the_scan(spark, new_path):
     plan = plan_of(sim.pair_metrics(spark.read.parquet(new_path), 1))
     assert "EqualTo(item_id,1)" in plan and "Not(EqualTo(item_id,1))" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_bucketed_ratings_are_not_shuffled_again(spark):
+    rows = random_ratings(1, 40, 10, 0.5)
+    spark.createDataFrame(rows, RATINGS).write.bucketBy(4, "user_id").mode("overwrite").saveAsTable(
+        "bucketed_ratings")
+    ratings = spark.table("bucketed_ratings")
+    with_merge_join = sim.pair_metrics(ratings.hint("merge"), 1)
+    assert "hashpartitioning(user_id" not in plan_of(with_merge_join)
+    assert {r.other_item_id: r.strength for r in with_merge_join.collect()} == {
+        item: strength for item, (_, strength) in brute_force_metrics(rows, 1, "pearson").items()}
