@@ -17,12 +17,14 @@ SPACE = (
 )
 
 # What is removed or spelled out, in this order. A lookahead in front lets
-# the scan skip quickly over characters no match can start with.
+# the scan skip quickly over characters no match can start with. No pattern scans a
+# stretch of text more than twice: an unclosed tag is matched as a whole and put back
+# (group 1), instead of being tried again from each "<" in it.
 URL = rf"(?=[hw])(?:http|www)[^{SPACE}]+"
-TAG = r"<[^>\n]*>"
+TAG = r"<[^>\n]*+>|(<[^>\n]*+)"
 CURRENCIES = (("$", " dollar "), ("€", " euro "), ("£", " pound "))
-PERCENT = rf"(?=\p{{Nd}})(?<![{WORD}])(\p{{Nd}}+)%"
-AMOUNT = rf"(?=\p{{Nd}})(?<![{WORD}])(\p{{Nd}}+)([kmb])(?![{WORD}])"
+PERCENT = rf"(?=\p{{Nd}})(?<![{WORD}])(\p{{Nd}}++)%"
+AMOUNT = rf"(?=\p{{Nd}})(?<![{WORD}])(\p{{Nd}}++)([kmb])(?![{WORD}])"
 UNITS = (("k", " thousand"), ("m", " million"), ("b", " billion"))
 NOT_KEPT = rf"[^{WORD}.,!?$%\-]+"
 
@@ -32,7 +34,7 @@ def clean_text(text: Column) -> Column:
     words and basic punctuation, collapse whitespace. NULL becomes the empty string."""
     out = F.lower(F.coalesce(text, F.lit("")))
     out = F.regexp_replace(out, URL, "")
-    out = F.regexp_replace(out, TAG, "")
+    out = F.regexp_replace(out, TAG, "$1")
     for symbol, name in CURRENCIES:
         out = F.replace(out, F.lit(symbol), F.lit(name))
     out = F.regexp_replace(out, PERCENT, "$1 percent")
@@ -48,7 +50,7 @@ def clean_text(text: Column) -> Column:
 
 def strip_whitespace(text: Column) -> Column:
     """Remove Unicode whitespace at both ends."""
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.regexp_replace(text, rf"^[{SPACE}]+|(?<![{SPACE}])[{SPACE}]+$", "")
 
 
 def preview(text: Column, length: int = 50) -> Column:

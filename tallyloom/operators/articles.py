@@ -7,7 +7,7 @@ import logging
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +21,7 @@ logger = logging.getLogger(__name__)
 TICKERS = ("HDFC", "Tata Motors")
 ARTICLES_PER_TICKER = 5
 
-PARSED_DDL = (
-    "title string, text string, published string, url string, source string, status string")
+PARSED_COLUMNS = ("title", "text", "published", "url", "source", "status")
 
 
 def parse_pages(
@@ -42,25 +41,26 @@ def parse_pages(
     fallback = ingested_at.isoformat()
     source = F.lit(source) if isinstance(source, str) else source
 
-    def parse_row(html: str | None, source: str | None) -> dict[str, str | None]:
+    layout = pa.schema([(name, pa.string()) for name in PARSED_COLUMNS])
+
+    def parse_page(page: dict[str, str | None]) -> dict[str, str | None]:
         try:
-            fields = parse_article(html, source, fallback)
+            fields = parse_article(page["html"], page["source"], fallback)
         except Exception as error:  # a broken page must not stop the rest
-            logger.warning("page skipped: %s", error)
-            return {"title": None, "text": None, "published": None, "status": "failed"}
-        fields["status"] = "ok" if fields.pop("found") else "no_content"
-        return fields
+            logger.warning("page %s skipped: %s", page["url"], error)
+            return page | {"status": "failed"}
+        return page | fields | {"status": "ok" if fields["found"] else "no_content"}
 
-    def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [parse_row(html, name) for html, name in zip(batch["html"], batch["source"])]
-            parsed = pd.DataFrame(rows, columns=["title", "text", "published", "status"])
-            yield parsed.assign(url=batch["url"].values, source=batch["source"].values)
+            parsed = [parse_page(page) for page in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist(parsed, schema=layout)
 
     captured = pages.select(
         F.col(url_column).alias("url"), F.col(html_column).alias("html"),
         source.alias("source"))
-    return captured.mapInPandas(parse_batches, PARSED_DDL)
+    return captured.mapInArrow(
+        parse_batches, ", ".join(f"{name} string" for name in PARSED_COLUMNS))
 
 
 def parsed_articles(parsed: DataFrame) -> DataFrame:
