@@ -1,4 +1,9 @@
-"""Item-to-item similarity over the users who rated both items."""
+"""Item-to-item similarity over the users who rated both items.
+
+Adaptive execution splits a hot key of a join only where both sides come straight from a
+shuffle of that join. A side that was grouped by the join key itself would skip the
+shuffle, so such sides are grouped by one more column or read back from a table.
+"""
 
 from __future__ import annotations
 
@@ -57,9 +62,9 @@ def pair_metrics(ratings: DataFrame, item_id: int, metric: str = "pearson") -> D
     """
     score_of = metric_named(metric)
     x = F.col("rating").cast("double")
-    target = ratings.where(F.col("item_id") == item_id).groupBy("user_id").agg(
+    target = ratings.where(F.col("item_id") == item_id).groupBy("user_id", "item_id").agg(
         F.count("*").alias("t_lines"), F.count(x).alias("t_n"), F.sum(x).alias("t_x"),
-        F.sum(x * x).alias("t_xx"), F.min(x).alias("t_min"), F.max(x).alias("t_max"))
+        F.sum(x * x).alias("t_xx"), F.min(x).alias("t_min"), F.max(x).alias("t_max")).drop("item_id")
     other = ratings.where(F.col("item_id") != item_id).select(
         "user_id", F.col("item_id").alias("other_item_id"), x.alias("y"))
     y = F.col("y")
@@ -151,24 +156,25 @@ def all_pairs_similarity(
     * Further busy users are split: their items are spread over groups of about
       ``busy_degree``, and each group meets all items of that user.
 
-    The collapsed ratings are written to the scratch folder first (one job), as the join
-    reads them several times; the rest is lazy.
+    The collapsed ratings, the items that count and the busy users are written to the
+    scratch folder first, as the join reads them several times; the rest is lazy.
     """
     score_of = metric_named(metric)
     rated = written_table(one_rating_per_item(ratings.where(
         F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
         & F.col("rating").isNotNull())), "rated")
-    popular = (rated.groupBy("item_id").agg(F.count("*").alias("raters"))
-               .where(F.col("raters") >= min_common).select("item_id"))
+    popular = written_table(
+        rated.groupBy("item_id").agg(F.count("*").alias("raters"))
+        .where(F.col("raters") >= min_common).select("item_id"), "popular")
     kept = rated.join(popular, "item_id", "left_semi")
 
     busy = (rated.groupBy("user_id").agg(F.count("*").alias("degree"))
             .where(F.col("degree") > busy_degree))
     busiest = (busy.orderBy(F.desc("degree"), "user_id").limit(min_common - 1)
                .select("user_id", F.lit(True).alias("is_busiest")))
-    splits = busy.join(busiest, "user_id", "left").select(
+    splits = written_table(busy.join(busiest, "user_id", "left").select(
         "user_id", "is_busiest",
-        F.ceil(F.col("degree") / busy_degree).cast("int").alias("splits"))
+        F.ceil(F.col("degree") / busy_degree).cast("int").alias("splits")), "splits")
 
     marked = kept.join(splits, "user_id", "left")
     listed = marked.where(F.col("is_busiest").isNull()).withColumn(
@@ -187,12 +193,12 @@ def all_pairs_similarity(
         .groupBy("item_a", "item_b").agg(*list_sums())
     )
 
-    maps = (marked.where(F.col("is_busiest")).groupBy("item_id")
+    maps = (marked.where(F.col("is_busiest")).groupBy("item_id", "is_busiest")
             .agg(F.map_from_entries(F.collect_list(F.struct("user_id", "rating")))
                  .alias("by_busiest")))
     # A pair that misses min_common by more than the number of busiest users is out.
     candidates = pairs.where(
-        F.col("n") + busiest.agg(F.count("*")).scalar() >= min_common)
+        F.col("n") + splits.agg(F.count("is_busiest")).scalar() >= min_common)
     total = add_busiest(candidates, maps)
     out = (
         total.where(F.col("n") >= min_common)
