@@ -16,11 +16,12 @@ SPACE = (
     r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# What is removed or spelled out, in this order. A lookahead in front lets
-# the scan skip quickly over characters no match can start with. No pattern scans a
+# What is removed or spelled out, in this order. Patterns begin with the
+# single characters a match can start with, so that the scan skips quickly over the rest
+# (an address starts with "http" or "www"). No pattern scans a
 # stretch of text more than twice: an unclosed tag is matched as a whole and put back
 # (group 1), instead of being tried again from each "<" in it.
-URL = rf"(?=[hw])(?:http|www)[^{SPACE}]+"
+URL = rf"[hw](?:ttp(?<=http)|ww(?<=www))[^{SPACE}]+"
 TAG = r"<[^>\n]*+>|(<[^>\n]*+)"
 CURRENCIES = (("$", " dollar "), ("€", " euro "), ("£", " pound "))
 PERCENT = rf"(?=\p{{Nd}})(?<![{WORD}])(\p{{Nd}}++)%"

@@ -38,6 +38,7 @@ CASES = {
     "$k 5$k €m £b $$% 5 k": None,
     "क्षि İstanbul ΑΣ x́ a‍b Ⅰ ½ _ \x1c   　  z": None,
     "http www https http:// wwwhttp httpwww.x y": None,
+    "hww.a wttp://b hhttp://c wwwww htt ww. hwww.d": None,
     "a < b <c> < d\n<e> <<f>> g > <": None,
     "#" * 30000 + " ok " + "<" * 2000: None,
 }
