@@ -11,30 +11,31 @@ from tallyloom.operators import articles, ratings as reports, sentiment, similar
 
 
 # How the reports are printed.
-AGE_LINE = "%s: %.1f"
-TOP_LINE = "%s: %.2f (%d ratings)"
-GENRE_LINE = "  Age Group %-12s : %-12s (Avg Rating: %.2f, Count: %d)"
+AGE_LINE = "%s: %s"
+TOP_LINE = "%s: %s (%d ratings)"
+GENRE_LINE = "  Age Group %-12s : %-12s (Avg Rating: %s, Count: %d)"
 SIMILAR_LINE = "%-50s score: %-50s strength: %d"
 
 
-def half_even(name: str, digits: int) -> Column:
-    """A mean that lies exactly between two printable values goes to the even one."""
-    return F.bround(F.col(name), digits)
+def printed(name: str, digits: int) -> Column:
+    """A number with a fixed count of decimals. Unlike ``%f`` of ``format_string``, this
+    rounds the number itself, not its shortest spelling, and exact ties to even."""
+    return F.call_function("format_number", F.col(name), F.lit("0." + "0" * digits))
 
 
 def mean_age_lines(mean_ages: DataFrame) -> DataFrame:
     return mean_ages.select("occupation", F.format_string(
-        AGE_LINE, "occupation", half_even("mean_age", 1)).alias("line"))
+        AGE_LINE, "occupation", printed("mean_age", 1)).alias("line"))
 
 
 def top_rated_lines(top_items: DataFrame) -> DataFrame:
     return top_items.select(F.format_string(
-        TOP_LINE, "title", half_even("avg_rating", 2), "rating_count").alias("line"))
+        TOP_LINE, "title", printed("avg_rating", 2), "rating_count").alias("line"))
 
 
 def genre_lines(ranking: DataFrame) -> DataFrame:
     return ranking.select("occupation", F.format_string(
-        GENRE_LINE, "age_group", "genre", half_even("avg_rating", 2), "rating_count").alias("line"))
+        GENRE_LINE, "age_group", "genre", printed("avg_rating", 2), "rating_count").alias("line"))
 
 
 def similar_lines(similar: DataFrame) -> DataFrame:

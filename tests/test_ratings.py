@@ -59,8 +59,11 @@ def test_age_groups(spark, age, group):
 
 
 def test_lines(spark):
-    top = spark.createDataFrame([("t", 3.125, 35)], "title string, avg_rating double, rating_count long")
-    assert values(lines.top_rated_lines(top), "line") == [f"t: {3.125:.2f} (35 ratings)"]
+    means = [3.125, 3.375, 2.675, 3.725, 0.0, 4.999]
+    top = spark.createDataFrame([("t", mean, 35) for mean in means],
+                                "title string, avg_rating double, rating_count long")
+    assert values(lines.top_rated_lines(top), "line") == [
+        f"t: {mean:.2f} (35 ratings)" for mean in means]
     ranking = spark.createDataFrame([("o", "20-25", "War", 4.5, 2)],
                                     "occupation string, age_group string, genre string, "
                                     "avg_rating double, rating_count long")
