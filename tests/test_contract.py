@@ -22,7 +22,7 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.oracle_sql())
 def test_query_equals_sql(spark, database, name):
     got = contract.queries()[name](spark, FOLDER).toPandas()
     wanted = database.execute(contract.oracle_sql()[name]).df()
