@@ -2,9 +2,9 @@
 
 SHINGLES = """
     SELECT id, unnest(list_distinct(CASE
-        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
         ELSE [array_to_string(w, ' ')] END)) AS shingle
-    FROM (SELECT id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+    FROM (SELECT id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
           FROM {source}) WHERE len(w) > 0"""
 
 ORACLES = {
