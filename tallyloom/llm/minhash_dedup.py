@@ -58,11 +58,12 @@ BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64))
 # --- shingles ------------------------------------------------------------------------
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts and the number of words of each."""
+def word_hashes(texts: list[bytes], separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts and the number of words of each; ``separators`` says
+    of each byte whether it parts words."""
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
-    space = SPACES[data]
+    space = separators[data]
     edge = np.diff(space.astype(np.int8), prepend=1)
     begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
