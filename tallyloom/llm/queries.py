@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import (
-    decontaminate, language_id, minhash_dedup, packing, rule_ensemble, secret_scan, sql, suffix_dedup,
+    decontaminate, html_render, language_id, minhash_dedup, packing, rule_ensemble, secret_scan, sql, suffix_dedup,
+    topk_search, warc,
 )
 from tallyloom.llm.common import tokenizer_path
 
@@ -16,10 +17,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived_and_read(table(spark, folder, "pages")).drop("url")
+
+
+def searched(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document whose id is divisible by 100 is a query."""
+    documents = table(spark, folder, "documents")
+    queries = documents.where("doc_id % 100 = 0").select(documents["doc_id"].alias("query_id"), "text")
+    return topk_search.search(documents, queries)
+
+
 def passages(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.dedup_passages(table(spark, folder, "documents"))
 
 
+def rendered(spark: SparkSession, folder: str) -> DataFrame:
+    return html_render.render_pages(table(spark, folder, "pages"))
+
+
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     return rule_ensemble.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -46,7 +62,10 @@ def packed(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": archives,
+        "op2_topk_search": searched,
         "op3_suffix_dedup": passages,
+        "op4_html_render": rendered,
         "op5_rule_ensemble": quality,
         "op6_decontamination": leaks,
         "op7_near_dedup": near,

@@ -15,4 +15,28 @@ ORACLES = {
         SELECT d.id AS doc_id, b.id AS item_id, any_value(n_item) AS n_item, count(*) AS n_found
         FROM d JOIN b USING (shingle) JOIN n ON n.id = b.id
         GROUP BY 1, 2 HAVING count(*) * 100 >= any_value(n_item) * 75""",
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+             q AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+             r AS (SELECT payload_digest, max(page_id) AS response_id FROM q
+                   WHERE payload_bytes >= 1000 GROUP BY 1)
+        SELECT page_id, payload_bytes, q.payload_digest,
+               CASE WHEN response_id > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN response_id > page_id THEN response_id END AS refers_to
+        FROM q LEFT JOIN r ON q.payload_digest = r.payload_digest AND payload_bytes >= 1000""",
+    "op2_topk_search": """
+        WITH w AS (SELECT doc_id, unnest(list_filter(string_split_regex(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) AS term FROM documents),
+             t AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2),
+             l AS (SELECT d.doc_id, coalesce(sum(tf), 0) AS len FROM documents d LEFT JOIN t USING (doc_id) GROUP BY 1),
+             c AS (SELECT count(*) AS n, avg(len) AS mean FROM l),
+             f AS (SELECT term, ln(1 + ((SELECT n FROM c) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+                   FROM t GROUP BY 1),
+             s AS (SELECT q.doc_id AS query_id, t.doc_id,
+                          round(sum(idf * t.tf * 2.2 / (t.tf + 1.2 * (0.25 + 0.75 * len / mean))), 4) AS score
+                   FROM t q JOIN t USING (term) JOIN f USING (term) JOIN l ON l.doc_id = t.doc_id, c
+                   WHERE q.doc_id % 100 = 0 GROUP BY 1, 2),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10""",
 }
