@@ -3,7 +3,7 @@
 The answer is exact and needs no text to be compared with all others:
 
 1. *Anchors.* The anchor of a window (a 100-byte string) is the smallest hash among its
-   16-byte grams. It depends on the window alone, so equal windows have equal anchors.
+   24-byte grams. It depends on the window alone, so equal windows have equal anchors.
    Neighbouring windows share their anchor, which cuts a text into segments of about 40
    windows. Segments are collapsed by (anchor, hash of the whole segment) in the task that
    made them and shuffled by anchor.
@@ -18,7 +18,7 @@ The answer is exact and needs no text to be compared with all others:
 4. *Crowded anchors* (the edge of a passage in very many texts) have no bound on their kinds
    of segments. They are split into single windows, which collapse by their 128-bit hash
    wherever they meet.
-5. What stays comes back to the text, the rest is removed.
+5. Whatever is not the first of its kind is marked, and the marks come back to the texts.
 
 Texts cross the network packed and compressed, by a hash of their id.
 
@@ -43,7 +43,7 @@ from tallyloom.llm.common import mixed, powers, shuffle_parts, text_batches
 from tallyloom.settings import written_table
 
 WINDOW = 100
-GRAM = 16
+GRAM = 24
 SPAN = WINDOW - GRAM + 1  # grams of a window
 # A flush of a task holds this much text; one anchor with more kinds of segments in a flush
 # (or in all flushes together) is crowded.
@@ -56,13 +56,13 @@ INDEX_BYTES = 1 << 20
 NULL_ID = -(1 << 63)
 SEGMENT = np.dtype([("h", "u8"), ("c", "u8"), ("doc", "i8"), ("tie", "u4"), ("at", "u4"), ("n", "u1")])
 SINGLE = np.dtype([("h", "u8"), ("c", "u8"), ("doc", "i8"), ("tie", "u4"), ("at", "u4")])
-KEPT = np.dtype([("doc", "i8"), ("tie", "u4"), ("at", "u4"), ("n", "u1")])
+GONE = np.dtype([("doc", "i8"), ("tie", "u4"), ("at", "u4"), ("n", "u1")])
 ASKED = np.dtype([("h", "u8"), ("doc", "i8"), ("tie", "u4"), ("at", "u4"), ("n", "u1"), ("crowded", "u1")])
 MARKER = np.dtype([("h", "u8")])
 
 PACKED = "shard int, kind int, body binary"
 PACKED_ARROW = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("body", pa.binary())])
-SEGMENTS, SINGLES, MARKERS, KEEP, ASK, TEXTS, CONTEXTS = range(7)
+SEGMENTS, SINGLES, MARKERS, MARKS, ASK, TEXTS, CONTEXTS = range(7)
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -142,16 +142,18 @@ def documents_of(batch: pa.RecordBatch) -> list[tuple[int, int, bytes]]:
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the 16 bytes from each position on."""
+    """A hash of the 24 bytes from each position on."""
     words = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
-    first = words * np.uint64(0x9E3779B97F4A7C15)
-    first ^= first >> np.uint64(32)
-    grams = first[:-8] * np.uint64(0xD6E8FEB86659FD93)
-    second = first[8:]
-    grams += second
+    mixed_words = words * np.uint64(0x9E3779B97F4A7C15)
+    mixed_words ^= mixed_words >> np.uint64(32)
+    grams = mixed_words[:-16] * np.uint64(0xD6E8FEB86659FD93)
+    grams += mixed_words[8:-8]
     grams ^= grams >> np.uint64(32)
     grams *= np.uint64(0xD6E8FEB86659FD93)
+    grams += mixed_words[16:]
     grams ^= grams >> np.uint64(29)
+    grams *= np.uint64(0xBF58476D1CE4E5B9)
+    grams ^= grams >> np.uint64(32)
     return grams
 
 
@@ -223,6 +225,9 @@ def flushed(rows: list[tuple[int, int, bytes]], shards: int) -> Iterator[tuple[i
     found = np.concatenate([part for part, _ in parts])
     owner = np.concatenate([row for _, row in parts])
     _, first = np.unique(found["h"] ^ (found["c"] * np.uint64(3)), return_index=True)
+    again = np.ones(len(found), dtype=bool)
+    again[first] = False
+    yield from marks_of(found[again], shards)
     found, owner = found[first], owner[first]
     anchors, inverse, counts = np.unique(found["h"], return_inverse=True, return_counts=True)
     crowded = counts > CROWDED_IN_FLUSH
@@ -251,18 +256,25 @@ def singles(segments, shards: int) -> Iterator[tuple[int, int, bytes]]:
         for step in range(int(n)):
             digest = xxhash.xxh3_128_intdigest(text[step:step + WINDOW])
             rows.append((digest >> 64, digest & 0xFFFFFFFFFFFFFFFF, int(doc), int(tie), int(at) + step))
-    found = first_of(np.array(rows, dtype=SINGLE))
+    found, again = first_and_rest(np.array(rows, dtype=SINGLE))
+    yield from marks_of(again, shards)
     yield from dealt(found, shard_of(found["h"], shards), SINGLES)
 
 
-def first_of(rows: np.ndarray) -> np.ndarray:
-    """The first in document order of each group of rows with equal (h, c)."""
-    if not len(rows):
-        return rows
+def first_and_rest(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first in document order of each group of rows with equal (h, c), and the others."""
     rows = rows[np.lexsort((rows["at"], rows["tie"], rows["doc"], rows["c"], rows["h"]))]
     new = np.ones(len(rows), dtype=bool)
     new[1:] = (rows["h"][1:] != rows["h"][:-1]) | (rows["c"][1:] != rows["c"][:-1])
-    return rows[new]
+    return rows[new], rows[~new]
+
+
+def marks_of(rows: np.ndarray, shards: int) -> Iterator[tuple[int, int, bytes]]:
+    """Windows that also start earlier, packed by document."""
+    out = np.empty(len(rows), dtype=GONE)
+    for name in GONE.names:
+        out[name] = rows[name] if name in rows.dtype.names else 1
+    yield from dealt(out, doc_shard(out["doc"], shards), MARKS)
 
 
 def segment_task(shards: int) -> Callable:
@@ -297,27 +309,18 @@ def per_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int
         yield current, bodies
 
 
-def kept_rows(rows: np.ndarray) -> np.ndarray:
-    out = np.empty(len(rows), dtype=KEPT)
-    for name in KEPT.names:
-        out[name] = rows[name] if name in rows.dtype.names else 1
-    return out[np.lexsort((out["at"], out["tie"], out["doc"]))]
-
-
 def collapse_task(shards: int) -> Callable:
     def resolved(shard: int, bodies: dict[int, list[bytes]]) -> Iterator[tuple[int, int, bytes]]:
-        for body in bodies.get(SINGLES, ()):
-            yield shard, SINGLES, body
-        rows = first_of(all_unpacked(bodies.get(SEGMENTS, []), SEGMENT))
-        if not len(rows):
-            return
+        for kind in (SINGLES, MARKS):  # these wait for a later step
+            for body in bodies.get(kind, ()):
+                yield shard, kind, body
+        rows, again = first_and_rest(all_unpacked(bodies.get(SEGMENTS, []), SEGMENT))
+        yield from marks_of(again, shards)
         marks = all_unpacked(bodies.get(MARKERS, []), MARKER)["h"]
         _, inverse, kinds = np.unique(rows["h"], return_inverse=True, return_counts=True)
         kinds = kinds[inverse]
         crowded = np.isin(rows["h"], marks) | (kinds > CROWDED)
         asks = crowded | (kinds > 1)
-        kept = kept_rows(rows[~asks])
-        yield from dealt(kept, doc_shard(kept["doc"], shards), KEEP)
         asked = np.empty(int(asks.sum()), dtype=ASKED)
         for name in ("h", "doc", "tie", "at", "n"):
             asked[name] = rows[name][asks]
@@ -517,19 +520,20 @@ def first_windows(data: bytes, sizes: np.ndarray) -> np.ndarray:
 
 
 def index_task(shards: int) -> Callable:
-    def kept_of(rows: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+    def repeated(rows: np.ndarray, pieces: list[bytes]) -> np.ndarray:
         sizes = rows["n"].astype(np.int64) + WINDOW - 1
-        first = first_windows(b"".join(pieces), sizes)
-        out = np.empty(int(first.sum()), dtype=KEPT)
+        again = ~first_windows(b"".join(pieces), sizes)
+        out = np.empty(int(again.sum()), dtype=GONE)
         owner = np.repeat(np.arange(len(rows)), rows["n"])
         step = np.arange(len(owner)) - np.repeat(np.cumsum(rows["n"], dtype=np.int64) - rows["n"], rows["n"])
-        out["doc"], out["tie"] = rows["doc"][owner[first]], rows["tie"][owner[first]]
-        out["at"], out["n"] = rows["at"][owner[first]] + step[first], 1
+        out["doc"], out["tie"] = rows["doc"][owner[again]], rows["tie"][owner[again]]
+        out["at"], out["n"] = rows["at"][owner[again]] + step[again], 1
         return out
 
-    def resolved(bodies: dict[int, list[bytes]]) -> Iterator[tuple[int, int, bytes]]:
-        kept = kept_rows(first_of(all_unpacked(bodies.get(SINGLES, []), SINGLE)))
-        yield from dealt(kept, doc_shard(kept["doc"], shards), KEEP)
+    def resolved(shard: int, bodies: dict[int, list[bytes]]) -> Iterator[tuple[int, int, bytes]]:
+        for body in bodies.get(MARKS, ()):
+            yield shard, MARKS, body
+        yield from marks_of(first_and_rest(all_unpacked(bodies.get(SINGLES, []), SINGLE))[1], shards)
         parts, pieces = [], []
         for body in bodies.get(CONTEXTS, ()):
             data = zstandard.ZstdDecompressor().decompress(body)
@@ -556,32 +560,24 @@ def index_task(shards: int) -> Callable:
             end = int(fits[-1]) if len(fits) else int(ends[0])
             # Windows of different anchors are never equal, so document order across the
             # anchors of one index does not matter.
-            found = kept_of(rows[begin:end], [pieces[k] for k in order[begin:end].tolist()])
-            yield from dealt(found, doc_shard(found["doc"], shards), KEEP)
+            yield from marks_of(repeated(rows[begin:end], [pieces[k] for k in order[begin:end].tolist()]), shards)
             begin = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, bodies in per_shard(batches):
-            yield from batches_of(resolved(bodies))
+        for shard, bodies in per_shard(batches):
+            yield from batches_of(resolved(shard, bodies))
     return run
 
 
 # --- step 5: back to the texts -------------------------------------------------------
 
 
-def removed_spans(size: int, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal removed runs of a text, given the windows that stay
-    (sorted rows of first window and number)."""
-    windows = size - WINDOW + 1
-    if windows <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    begin = kept["at"].astype(np.int64)
-    end = begin + kept["n"]
-    gap_from, gap_to = np.append(0, end), np.append(begin, windows)
-    gone = gap_from < gap_to
-    first, last = gap_from[gone], gap_to[gone] - 1 + WINDOW
+def removed_spans(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal removed runs, given sorted marks (first window, number)."""
+    first = marks["at"].astype(np.int64)
     if not len(first):
-        return first, last
+        return first, first
+    last = np.maximum.accumulate(first + marks["n"] - 1 + WINDOW)
     apart = np.append(True, first[1:] > last[:-1])
     return first[apart], last[np.append(np.flatnonzero(apart)[1:], len(first)) - 1]
 
@@ -592,11 +588,11 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 def result_task(with_text: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, bodies in per_shard(batches):
-            kept = ByDocument(all_unpacked(bodies.get(KEEP, []), KEPT))
+            marks = ByDocument(all_unpacked(bodies.get(MARKS, []), GONE))
             for body in bodies.get(TEXTS, ()):
                 columns: list[list] = [[] for _ in range(6)]
                 for doc, tie, text in texts_of(body):
-                    first, last = removed_spans(len(text), kept.of(doc, tie))
+                    first, last = removed_spans(marks.of(doc, tie))
                     rest, at = [], 0
                     for a, b in zip(first.tolist(), last.tolist()):
                         rest.append(text[at:a])
@@ -633,7 +629,8 @@ def dedup_passages(documents: DataFrame, with_text: bool = False) -> DataFrame:
     texts = docs.mapInArrow(text_task(shards), PACKED)
     asked = collapsed.where(F.col("kind") == ASK)
     fetched = by_shard(asked.unionAll(texts)).mapInArrow(fetch_task(shards), PACKED)
+    # Marks that fetching finds go through the index step, which passes them on.
     edges = by_shard(fetched.unionAll(collapsed.where(F.col("kind") == SINGLES)))
-    kept = written_table(edges.mapInArrow(index_task(shards), PACKED), "edges")
-    back = by_shard(collapsed.where(F.col("kind") == KEEP).unionAll(kept).unionAll(texts))
+    marks = written_table(edges.mapInArrow(index_task(shards), PACKED), "edges")
+    back = by_shard(collapsed.where(F.col("kind") == MARKS).unionAll(marks).unionAll(texts))
     return back.mapInArrow(result_task(with_text), RESULT + (", kept binary" if with_text else ""))
