@@ -454,14 +454,14 @@ class RunLengthIndex:
     def suffix_order(self, symbols: np.ndarray, longest: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """The suffix array by prefix doubling, and the ranks by the first 1, 2, 4, ... symbols."""
         size = len(symbols)
-        order = np.argsort(symbols, kind="stable")
+        order = np.argsort(symbols)
         ranks = [self.ranked(symbols, order)]
         width = 1
         while width < longest and ranks[-1].max(initial=0) < size - 1:
             rank = ranks[-1].astype(np.int64)
             key = rank << 32
             key[:size - width] |= rank[width:] + 1
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)  # ties share a rank, in any order
             ranks.append(self.ranked(key, order))
             width *= 2
         return order, ranks
@@ -618,7 +618,7 @@ def dedup_passages(documents: DataFrame, with_text: bool = False) -> DataFrame:
     digest of what stays; with ``with_text`` also the bytes that stay as ``kept`` (a cut may
     fall inside a character)."""
     spark = documents.sparkSession
-    shards = 2 * shuffle_parts(spark)
+    shards = shuffle_parts(spark)
     docs = documents.select("doc_id", F.col("text").cast("binary").alias("text"))
 
     def by_shard(rows: DataFrame) -> DataFrame:
