@@ -121,7 +121,12 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def doc_shard(docs: np.ndarray, shards: int) -> np.ndarray:
-    return shard_of(docs.astype(np.int64).view(np.uint64) + np.uint64(77), shards)
+    return shard_of(docs.astype(np.int64).view(np.uint64) + np.uint64(77), doc_shards(shards))
+
+
+def doc_shards(shards: int) -> int:
+    """Rows for documents are fewer than segments; half the shards keep their packs large."""
+    return max(1, shards // 2)
 
 
 def text_tie(text: bytes) -> int:
@@ -393,29 +398,36 @@ def fetch_task(shards: int) -> Callable:
     """The bytes of the segments that were asked for; crowded ones as single windows."""
     def fetched(bodies: dict[int, list[bytes]]) -> Iterator[tuple[int, int, bytes]]:
         asked = ByDocument(all_unpacked(bodies.get(ASK, []), ASKED))
-        seen = set()
+        seen, rows, contexts, crowded, held = set(), [], [], [], 0
         for body in bodies.get(TEXTS, ()) if len(asked.rows) else ():
-            rows, contexts, crowded = [], [], []
             for doc, tie, text in texts_of(body):
                 if (doc, tie) in seen or (doc, tie) not in asked.spans:
                     continue
                 seen.add((doc, tie))
                 for row in asked.of(doc, tie):
                     piece = text[row["at"]:int(row["at"]) + int(row["n"]) + WINDOW - 1]
+                    held += len(piece)
                     if row["crowded"]:
                         crowded.append((doc, tie, row["at"], row["n"], piece))
                     else:
                         rows.append(row)
                         contexts.append(piece)
-            yield from singles(crowded, shards) if crowded else ()
-            if rows:
-                rows = np.array(rows, dtype=ASKED)
-                shard = shard_of(rows["h"], shards)
-                for number in np.unique(shard).tolist():
-                    chosen = np.flatnonzero(shard == number)
-                    text = b"".join(contexts[k] for k in chosen.tolist())
-                    body = np.int64(len(chosen)).tobytes() + packed(rows[chosen]) + text
-                    yield number, CONTEXTS, zstandard.ZstdCompressor(level=1).compress(body)
+            if held > FLUSH_BYTES:
+                yield from sent(rows, contexts, crowded)
+                rows, contexts, crowded, held = [], [], [], 0
+        yield from sent(rows, contexts, crowded)
+
+    def sent(rows: list, contexts: list[bytes], crowded: list) -> Iterator[tuple[int, int, bytes]]:
+        if crowded:
+            yield from singles(crowded, shards)
+        if rows:
+            rows = np.array(rows, dtype=ASKED)
+            shard = shard_of(rows["h"], shards)
+            for number in np.unique(shard).tolist():
+                chosen = np.flatnonzero(shard == number)
+                text = b"".join(contexts[k] for k in chosen.tolist())
+                body = np.int64(len(chosen)).tobytes() + packed(rows[chosen]) + text
+                yield number, CONTEXTS, zstandard.ZstdCompressor(level=1).compress(body)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, bodies in per_shard(batches):
@@ -621,16 +633,16 @@ def dedup_passages(documents: DataFrame, with_text: bool = False) -> DataFrame:
     shards = shuffle_parts(spark)
     docs = documents.select("doc_id", F.col("text").cast("binary").alias("text"))
 
-    def by_shard(rows: DataFrame) -> DataFrame:
-        return rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    def by_shard(rows: DataFrame, parts: int = shards) -> DataFrame:
+        return rows.repartition(parts, "shard").sortWithinPartitions("shard", "kind")
 
     segments = docs.mapInArrow(segment_task(shards), PACKED)
     collapsed = written_table(by_shard(segments).mapInArrow(collapse_task(shards), PACKED), "segments")
     texts = docs.mapInArrow(text_task(shards), PACKED)
     asked = collapsed.where(F.col("kind") == ASK)
-    fetched = by_shard(asked.unionAll(texts)).mapInArrow(fetch_task(shards), PACKED)
+    fetched = by_shard(asked.unionAll(texts), doc_shards(shards)).mapInArrow(fetch_task(shards), PACKED)
     # Marks that fetching finds go through the index step, which passes them on.
     edges = by_shard(fetched.unionAll(collapsed.where(F.col("kind") == SINGLES)))
     marks = written_table(edges.mapInArrow(index_task(shards), PACKED), "edges")
-    back = by_shard(collapsed.where(F.col("kind") == MARKS).unionAll(marks).unionAll(texts))
+    back = by_shard(collapsed.where(F.col("kind") == MARKS).unionAll(marks).unionAll(texts), doc_shards(shards))
     return back.mapInArrow(result_task(with_text), RESULT + (", kept binary" if with_text else ""))
