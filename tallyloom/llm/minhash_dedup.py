@@ -202,8 +202,9 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray, crossing: bool) ->
     sets of side 0 and side 1 count.
 
     Intersections of one set with all others are counted at once over an inverted index.
-    Any link between two components has an end outside the largest one, so only sets outside
-    it are taken up, and a group of mutual copies is done after one step.
+    Any link between two components has an end outside the largest one, so sets inside it are
+    passed over, and a group of mutual copies is done after one step. Which component is the
+    largest may change, so what was passed over and lies outside the final one is taken up.
     """
     count = len(sets)
     sizes = np.array([len(found) for found in sets], dtype=np.int64)
@@ -219,25 +220,30 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray, crossing: bool) ->
     root = np.arange(count)
     members = np.ones(count, dtype=np.int64)
     largest, links = 0, []
-    for k in np.argsort(-np.diff(first), kind="stable").tolist():
-        if root[k] == root[largest] and members[root[k]] > 1:
-            continue
-        mine = dims[first[k]:first[k + 1]]
-        lengths = begin[mine + 1] - begin[mine]
-        at = np.repeat(begin[mine] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-        common = np.bincount(posting[at], minlength=count)
-        near = OF * common >= SIMILAR * (sizes + sizes[k] - common)
-        near &= root != root[k]
-        if crossing:
-            near &= side != side[k]
-        for other in np.flatnonzero(near).tolist():
-            if root[other] != root[k]:
-                links.append((k, other))
-                old, new = root[other], root[k]
-                root[root == old] = new
-                members[new] += members[old]
-                if members[new] > members[root[largest]]:
-                    largest = k
+    taken = np.zeros(count, dtype=bool)
+    waiting = np.argsort(-np.diff(first), kind="stable")
+    while len(waiting):
+        for k in waiting.tolist():
+            if root[k] == root[largest] and members[root[k]] > 1:
+                continue
+            taken[k] = True
+            mine = dims[first[k]:first[k + 1]]
+            lengths = begin[mine + 1] - begin[mine]
+            at = np.repeat(begin[mine] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+            common = np.bincount(posting[at], minlength=count)
+            near = OF * common >= SIMILAR * (sizes + sizes[k] - common)
+            near &= root != root[k]
+            if crossing:
+                near &= side != side[k]
+            for other in np.flatnonzero(near).tolist():
+                if root[other] != root[k]:
+                    links.append((k, other))
+                    old, new = root[other], root[k]
+                    root[root == old] = new
+                    members[new] += members[old]
+                    if members[new] > members[root[largest]]:
+                        largest = k
+        waiting = waiting[~taken[waiting] & (root[waiting] != root[largest])]
     return links
 
 

@@ -110,6 +110,38 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, rows, block):
     assert sorted(map(tuple, got), key=repr) == brute_near(table)
 
 
+def chain(order, shift=10, size=104):
+    """Documents that are windows over one sequence of words, ids rising in the order."""
+    return [(k, " ".join(f"w{j}" for j in range(shift * at, shift * at + size))) for k, at in enumerate(order)]
+
+
+def test_near_duplicates_of_a_chain(spark):
+    table = chain([1, 2, 5, 4, 3, 0, 6])
+    got = minhash_dedup.near_duplicates(documents(spark, table)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_near(table)
+    assert {r["component_id"] for r in got} == {0}
+
+
+@pytest.mark.parametrize("crossing", [False, True])
+def test_links_span_groups_that_grow(crossing):
+    rng = random.Random(11)
+    for _ in range(300):
+        order = [at + gap for gap in (0, 40) for at in range(rng.randint(2, 12))]
+        rng.shuffle(order)
+        sets = [np.arange(10 * at, 10 * at + rng.choice([98, 100, 102]), dtype=np.uint64) for at in order]
+        side = np.array([rng.randint(0, 1) for _ in sets])
+        wanted, found = minhash_dedup.UnionFind(), minhash_dedup.UnionFind()
+        for i in range(len(sets)):
+            for j in range(i):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                near = 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common)
+                if near and (not crossing or side[i] != side[j]):
+                    wanted.join(i, j)
+        links = minhash_dedup.spanning_links(sets, side, crossing)
+        assert all(found.join(a, b) for a, b in links)
+        assert [found.find(k) for k in range(len(sets))] == [wanted.find(k) for k in range(len(sets))]
+
+
 def test_components_of_long_chains(spark):
     edges = [(k, k + 1) for k in range(60)] + [(200, 100), (200, 150)]
     random.Random(1).shuffle(edges)
