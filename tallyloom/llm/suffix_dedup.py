@@ -214,8 +214,9 @@ def chunks_of(rows: list[tuple[int, int, bytes]]) -> Iterator[list[tuple[int, in
 
 
 def flushed(rows: list[tuple[int, int, bytes]], shards: int) -> Iterator[tuple[int, int, bytes]]:
-    """The packed segments of some documents, equal ones collapsed to the first."""
-    rows = sorted((row for row in rows if len(row[2]) >= WINDOW), key=lambda row: row[:2])
+    """The packed segments of some documents, equal ones collapsed to the first. Rows that
+    repeat id and text count once, as they are one document."""
+    rows = sorted({row for row in rows if len(row[2]) >= WINDOW}, key=lambda row: row[:2])
     parts = []
     for base, chunk in numbered(chunks_of(rows)):
         h, c, owner, at, n = segments_of([row[2] for row in chunk])
@@ -267,11 +268,15 @@ def singles(segments, shards: int) -> Iterator[tuple[int, int, bytes]]:
 
 
 def first_and_rest(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first in document order of each group of rows with equal (h, c), and the others."""
+    """The first in document order of each group of rows with equal (h, c), and the others.
+    A position that comes more than once (of a repeated row) is no other."""
     rows = rows[np.lexsort((rows["at"], rows["tie"], rows["doc"], rows["c"], rows["h"]))]
-    new = np.ones(len(rows), dtype=bool)
+    new, moved = np.ones(len(rows), dtype=bool), np.ones(len(rows), dtype=bool)
     new[1:] = (rows["h"][1:] != rows["h"][:-1]) | (rows["c"][1:] != rows["c"][:-1])
-    return rows[new], rows[~new]
+    for name in ("doc", "tie", "at"):
+        moved[1:] &= rows[name][1:] == rows[name][:-1]
+    moved[1:] = ~moved[1:]
+    return rows[new], rows[~new & moved]
 
 
 def marks_of(rows: np.ndarray, shards: int) -> Iterator[tuple[int, int, bytes]]:

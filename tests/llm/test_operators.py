@@ -62,6 +62,19 @@ def test_passages_equal_brute_force(spark, rows, monkeypatch, limits):
     assert sorted(map(tuple, got), key=repr) == brute_passages(rows)
 
 
+@pytest.mark.parametrize("flush", [24 << 20, 100])
+@pytest.mark.parametrize("limits", [(64, 4096), (1, 2)])
+def test_repeated_rows_are_one_document(spark, rows, monkeypatch, limits, flush):
+    monkeypatch.setattr(suffix_dedup, "CROWDED_IN_FLUSH", limits[0])
+    monkeypatch.setattr(suffix_dedup, "CROWDED", limits[1])
+    monkeypatch.setattr(suffix_dedup, "FLUSH_BYTES", flush)
+    again = [rows[3], rows[3], rows[20], rows[20], rows[18], rows[9], rows[-2], rows[-1]]
+    once = {r[:2]: r for r in brute_passages(rows)}  # rows with one id differ in size here
+    wanted = [once[number, len((text or "").encode())] for number, text in rows + again]
+    got = suffix_dedup.dedup_passages(documents(spark, rows + again)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(wanted, key=repr)
+
+
 def test_run_length_index_finds_first_windows():
     rng = random.Random(3)
     texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(100, 300))) for _ in range(8)]
