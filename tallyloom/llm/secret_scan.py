@@ -5,7 +5,9 @@ The lexer then reads source and configuration syntax line by line into (name, li
 ``name = "literal"``, ``name: literal``, ``"name": "literal"``, ``name => 'literal'``, with
 attribute and index paths, ``export``/``const`` before the name, and ``+`` between parts.
 Constants are propagated: a name that was given a literal hands it on where it is assigned to
-another name or joined with other parts. Each literal is scored by the words of the names it
+another name or joined with other parts. Without quotes, what stands up to white space or a
+delimiter is a reference only if all of it is a name (or a join of known names); any other
+token is a literal as a whole, and assignments inside it (``url?name=literal&``) count too. Each literal is scored by the words of the names it
 reaches and by its own shape; literals at or above the threshold become spans of kind
 ``literal``, except where a base span already covers them.
 
@@ -20,7 +22,7 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,6 +60,10 @@ STRING = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
 TARGET = re.compile(rf"(?:(?P<quoted>[\"'])(?P<key>[^\"'\n]{{1,80}})(?P=quoted)|(?P<name>{NAME}))"
                     rf"[ \t]*(?:(?P<op>:=|=>|=(?![=~])|:(?!:|//)))[ \t]*")
 PART = re.compile(rf"(?P<string>{STRING})|(?P<ref>{NAME})(?![\w(\"'])|(?P<bare>[^\s\"'`,;(){{}}\[\]#]+)")
+BARE = re.compile(r"[^\s\"'`,;(){}\[\]#]+")
+REF = re.compile(NAME)
+NAMES = re.compile(rf"{NAME}(?:\+{NAME})*+")
+QUOTES = ("\"", "'", "`")
 PLUS = re.compile(r"[ \t]*[+.][ \t]*(?=[\"'`A-Za-z_$])")
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -94,33 +100,75 @@ def literal_score(literal: str) -> float:
     return min(1.0, entropy / 3.5) * (1.0 if CODE.search(literal) else 0.7)
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
+def parts_at(text: str, at: int, known: Container[str]) -> tuple[list[tuple[str, str, int, int]], int]:
+    """The parts of the operand at a position, and where it ends."""
+    part = PART.match(text, at)
+    if part is None:
+        return [], at
+    if part["string"] is not None:
+        return [("literal", part["string"][1:-1], part.start() + 1, part.end() - 1)], part.end()
+    token = BARE.match(text, at)
+    end = token.end()
+    joined = text.startswith(QUOTES, end) and text[end - 1] in "+." and end - 1 > at
+    names = NAMES.match(text, at)
+    if names is not None and names.end() >= end - joined:
+        refs = REF.findall(names[0])
+        if len(refs) == 1 or joined or all(ref in known for ref in refs):
+            if part["ref"] is None:  # a call
+                return [("literal", token[0], at, end)], end
+            if len(refs) == 1:
+                return [("ref", part["ref"], at, part.end())], part.end()
+            return [("ref", ref, at, names.end()) for ref in refs], names.end()
+    whole = [("literal", token[0], at, end)]
+    if part["ref"] is not None and part["ref"] in known:  # an expression that uses a constant
+        whole.append(("ref", part["ref"], at, part.end()))
+    return whole, end
+
+
+def inside(text: str, start: int, end: int) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
+    """Assignments inside an unquoted token: of each piece up to ``&`` the most telling name,
+    with all that follows the first telling one."""
+    for piece in re.finditer("[^&]+", text[start:end]):
+        best, at = (0.0, ""), None
+        for target in TARGET.finditer(piece[0]):
+            name = target["name"] or target["key"]
+            if weight := name_score(name):
+                best = max(best, (weight, name))
+                at = target.end() if at is None else at
+        if at is not None and at < len(piece[0]):
+            begin = start + piece.start()
+            yield best[1], [("literal", piece[0][at:], begin + at, begin + len(piece[0]))]
+
+
+def assignments(text: str, known: Container[str]) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
     """(name, parts) of what looks like an assignment; a part is (kind, content, start, end),
-    a literal or a reference to a name."""
+    a literal or a reference to a name. ``known`` are the names assigned so far."""
     at = 0
     while (target := TARGET.search(text, at)) is not None:
         at = target.end()
-        parts = []
-        while (part := PART.match(text, at)) is not None:
-            if part["string"] is not None:
-                parts.append(("literal", part["string"][1:-1], part.start() + 1, part.end() - 1))
-            elif part["ref"] is not None:
-                parts.append(("ref", part["ref"], part.start(), part.end()))
-            else:
-                parts.append(("literal", part["bare"], part.start(), part.end()))
-            at = part.end()
+        parts, tokens = [], []
+        while True:
+            found, end = parts_at(text, at, known)
+            if not found:
+                break
+            if found[0][0] == "literal" and found[0][2] == at:  # without quotes
+                tokens.append((at, end))
+            parts += found
+            at = end
             plus = PLUS.match(text, at)
             if plus is None:
                 break
             at = plus.end()
         yield target["name"] or target["key"], parts
+        for token in tokens:
+            yield from inside(text, *token)
 
 
 def literal_spans(text: str) -> list[Span]:
     """Spans of literals that reach a sensitive name."""
     known: dict[str, list[tuple[str, int, int]]] = {}
     best: dict[tuple[int, int], float] = {}
-    for name, parts in assignments(text):
+    for name, parts in assignments(text, known):
         value = []
         for kind, content, start, end in parts:
             if kind == "literal":

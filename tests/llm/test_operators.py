@@ -240,6 +240,23 @@ def test_secret_spans():
     assert found("name = 'AbC123xyzQ'")[1] == []
 
 
+@pytest.mark.parametrize("line, value", [
+    ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCY", "wJalrXUtnFEMI/K7MDENG/bPxRfiCY"),
+    ("SIGNING_KEY=abcDEF123+ghiJKL456/xyz", "abcDEF123+ghiJKL456/xyz"),
+    ("SIGNING_KEY=abcDEF123+ghiJKL456", "abcDEF123+ghiJKL456"),
+    ("private_key: abcd-1234-efgh-5678", "abcd-1234-efgh-5678"),
+    ("  private_key: abcDEF12==ghi= # note", "abcDEF12==ghi="),
+    ("signing_key = A1b2C3d4/x, next", "A1b2C3d4/x"),
+    ("url=http://h/p?signing_key=abcDEF123xyz&page=2", "abcDEF123xyz"),
+    ("x=y:signing_key=abcDEF123+xyz", "abcDEF123+xyz"),
+    ('PART = "AbC123xyzQ"\nprivate_key = PART+PART', "AbC123xyzQ"),
+    ('private_key = prefix+"AbC123xyzQ"', "AbC123xyzQ"),
+])
+def test_unquoted_values_are_whole(line, value):
+    start = line.index(value)
+    assert secret_scan.secret_spans(line)[1] == [("literal", start, start + len(value))]
+
+
 def test_scan_and_mask(spark):
     table = spark.createDataFrame([(1, "see token = abcdefgh1 ok", 9), (2, None, None), (3, "clean", 5)],
                                   "doc_id long, text string, n_chars long")
