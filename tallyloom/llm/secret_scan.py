@@ -40,7 +40,6 @@ KINDS = ("assign", "access", "hex", "literal")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
 THRESHOLD = 0.6
-LONGEST_LITERAL = 4096
 CHUNK_BYTES = 4 << 20
 
 # Words of names and how telling they are.
@@ -50,14 +49,16 @@ NAME_WEIGHTS = {
     "private": 0.7, "bearer": 0.8, "signing": 0.6, "encryption": 0.6, "access": 0.5, "key": 0.5,
     "salt": 0.5, "session": 0.4, "cert": 0.4,
 }
+# What marks a placeholder: anywhere, or as all of the literal.
+HOLES = ("${", "{{", "%(")
 PLACEHOLDER = re.compile(
-    r"\$\{|\{\{|<[^>]*>|%\(|^(changeme|change_me|example|password|secret|token|none|null|true|false|"
-    r"todo|xxx+|\*+|\.+|test|dummy|placeholder|your[-_ ].*)$", re.I)
-CODE = re.compile(r"\d|[A-Z].*[a-z]|[a-z].*[A-Z]|[-_+/=.]")
+    r"(changeme|change_me|example|password|secret|token|none|null|true|false|todo|test|dummy|placeholder)\Z"
+    r"|your[-_ ]", re.I)
+HEAD = 16  # longer than any of these
 
-NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::)[A-Za-z_$][\w$]*|\[[\"'][^\"'\]\n]{1,60}[\"']\]|-[A-Za-z_][\w$]*)*"
+NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::)[A-Za-z_$][\w$]*|\[[\"'][^\"'\]\n]+[\"']\]|-[A-Za-z_][\w$]*)*"
 STRING = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
-TARGET = re.compile(rf"(?:(?P<quoted>[\"'])(?P<key>[^\"'\n]{{1,80}})(?P=quoted)|(?P<name>{NAME}))"
+TARGET = re.compile(rf"(?:(?P<quoted>[\"'])(?P<key>[^\"'\n]+)(?P=quoted)|(?<![\w$])[^\W_A-Za-z]*(?P<name>{NAME}))"
                     rf"[ \t]*(?:(?P<op>:=|=>|=(?![=~])|:(?!:|//)))[ \t]*")
 PART = re.compile(rf"(?P<string>{STRING})|(?P<ref>{NAME})(?![\w(\"'])|(?P<bare>[^\s\"'`,;(){{}}\[\]#]+)")
 BARE = re.compile(r"[^\s\"'`,;(){}\[\]#]+")
@@ -89,15 +90,53 @@ def name_score(name: str) -> float:
     return min(1.0, weights[0] + 0.25 * len(weights[1:])) if weights else 0.0
 
 
+class Value:
+    """What an assignment gives a name: a literal, or values joined with ``+``. Only sums are
+    kept of what is joined, so that a value takes one pass over its own text, whatever its
+    length and however often it is handed on."""
+
+    __slots__ = ("span", "joined", "length", "counts", "head", "tail", "hole", "score")
+
+    def __init__(self, content: str = "", span: tuple[int, int] | None = None):
+        self.span, self.joined, self.score = span, (), 0.0
+        self.length, self.counts = len(content), Counter(content)
+        self.head, self.tail = content[:HEAD], content[-1:]
+        opened = content.find("<")
+        self.hole = any(hole in content for hole in HOLES) or opened >= 0 and content.find(">", opened) >= 0
+
+    @classmethod
+    def of(cls, joined: list[Value]) -> Value:
+        value = cls()
+        value.joined = tuple(joined)
+        for part in joined:
+            value.hole |= (part.hole or value.tail + part.head[:1] in HOLES
+                           or "<" in value.counts and ">" in part.counts)
+            value.length += part.length
+            value.counts.update(part.counts)
+            if len(value.head) < HEAD:
+                value.head = (value.head + part.head)[:HEAD]
+            value.tail = part.tail or value.tail
+        return value
+
+    def placeholder(self) -> bool:
+        of_one = len(self.counts) <= 2 and {char.lower() for char in self.counts} in ({"x"}, {"*"}, {"."})
+        return self.hole or of_one or PLACEHOLDER.match(self.head) is not None
+
+    def literal_score(self) -> float:
+        """How much the value looks like a secret: length, variety and mixture of characters."""
+        if self.length < LEAST_VALUE or self.placeholder():
+            return 0.0
+        shares = [n / self.length for n in self.counts.values()]
+        entropy = -sum(share * math.log2(share) for share in shares if share)
+        lower, upper = (any(first <= char <= last for char in self.counts) for first, last in ("az", "AZ"))
+        code = lower and upper or any(char.isdecimal() or char in "-_+/=." for char in self.counts)
+        if " " in self.counts and not code:
+            return 0.2
+        return min(1.0, entropy / 3.5) * (1.0 if code else 0.7)
+
+
 def literal_score(literal: str) -> float:
-    """How much a literal looks like a secret: length, variety and mixture of characters."""
-    if len(literal) < LEAST_VALUE or len(literal) > LONGEST_LITERAL or PLACEHOLDER.search(literal):
-        return 0.0
-    counts = Counter(literal)
-    entropy = -sum(n / len(literal) * math.log2(n / len(literal)) for n in counts.values())
-    if " " in literal and not CODE.search(literal.replace(" ", "")):
-        return 0.2
-    return min(1.0, entropy / 3.5) * (1.0 if CODE.search(literal) else 0.7)
+    return Value(literal).literal_score()
 
 
 def parts_at(text: str, at: int, known: Container[str]) -> tuple[list[tuple[str, str, int, int]], int]:
@@ -166,23 +205,28 @@ def assignments(text: str, known: Container[str]) -> Iterator[tuple[str, list[tu
 
 def literal_spans(text: str) -> list[Span]:
     """Spans of literals that reach a sensitive name."""
-    known: dict[str, list[tuple[str, int, int]]] = {}
-    best: dict[tuple[int, int], float] = {}
+    known: dict[str, Value] = {}
+    made: list[Value] = []  # what is joined stands before what it is joined to
     for name, parts in assignments(text, known):
-        value = []
+        joined = []
         for kind, content, start, end in parts:
-            if kind == "literal":
-                value.append((content, start, end))
-            elif content in known:
-                value += known[content]
-            elif len(parts) == 1:
-                value.append((content, start, end))  # a bare word of a configuration file
-        known[name] = value[:16]
-        weight = name_score(name)
-        if weight and value:
-            score = weight * literal_score("".join(content for content, _, _ in value))
-            for _, start, end in value:
-                best[start, end] = max(score, best.get((start, end), 0.0))
+            if kind == "ref" and content in known:
+                joined.append(known[content])
+            elif kind == "literal" or len(parts) == 1:  # or a bare word of a configuration file
+                joined.append(Value(content, (start, end)))
+                made.append(joined[-1])
+        value = joined[0] if len(joined) == 1 else Value.of(joined)
+        if len(joined) > 1:
+            made.append(value)
+        known[name] = value
+        if value.length and (weight := name_score(name)):
+            value.score = max(value.score, weight * value.literal_score())
+    best: dict[tuple[int, int], float] = {}
+    for value in reversed(made):
+        for part in value.joined:
+            part.score = max(part.score, value.score)
+        if value.span is not None:
+            best[value.span] = max(value.score, best.get(value.span, 0.0))
     return [("literal", start, end) for (start, end), score in best.items()
             if score >= THRESHOLD and end > start]
 

@@ -257,6 +257,33 @@ def test_unquoted_values_are_whole(line, value):
     assert secret_scan.secret_spans(line)[1] == [("literal", start, start + len(value))]
 
 
+def test_secrets_of_any_length():
+    rng = random.Random(12)
+    blob = "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(100_000)).replace("0123", "01+23")
+    wanted = {f'private_key = "{blob}"': 1, f"PRIVATE_KEY={blob}": 1}
+    lines = [blob[k:k + 64] for k in range(0, 6400, 64)]
+    wanted['k = "' + '" + "'.join(lines) + '"\nprivate_key = k'] = 100
+    wanted["\n".join(['k = ""', *(f'k = k + "{line}"' for line in lines), "private_key = k"])] = 100
+    wanted["k = 'AbC123xyzQ'\n" + "k = k + k\n" * 2000 + "private_key = k"] = 1
+    wanted[f'{{"{"a" * 90}_private_key": "AbC123xyzQ"}}'] = 1
+    wanted[f'x["{"a" * 70}_private_key"] = "AbC123xyzQ"'] = 1
+    for text, count in wanted.items():
+        found = [span for span in secret_scan.secret_spans(text)[1] if span[0] == "literal"]
+        assert len(found) == count, text[:60]
+    assert secret_scan.secret_spans(next(iter(wanted)))[1] == [("literal", 15, 15 + len(blob))]
+
+
+@pytest.mark.parametrize("parts", [
+    ["${", "KEY_123456"], ["$", "{KEY_123456}"], ["<Key12", "3456>"], ["your-", "Key123456"], ["xxxx", "XXXX"],
+    ["plain words", " only here"], ["plain", "wordsonly"], ["AbC1", "23xyzQ"], ["....", "....."], ["changeme", ""],
+])
+def test_joined_values_score_like_their_text(parts):
+    values = [secret_scan.Value(part) for part in parts]
+    joined, whole = secret_scan.Value.of(values), secret_scan.Value("".join(parts))
+    assert joined.literal_score() == pytest.approx(whole.literal_score())
+    assert joined.placeholder() == whole.placeholder()
+
+
 def test_scan_and_mask(spark):
     table = spark.createDataFrame([(1, "see token = abcdefgh1 ok", 9), (2, None, None), (3, "clean", 5)],
                                   "doc_id long, text string, n_chars long")
