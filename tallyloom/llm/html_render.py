@@ -3,14 +3,16 @@
 A page is read into a tree in one pass over its tags; end tags that HTML lets authors leave out
 are implied (a block closes an open paragraph, an item the item before it, a cell or row its
 predecessor), and stray end tags are ignored. Subtrees nobody sees are skipped: scripts, styles,
-templates, ``hidden``, ``display:none``, ``visibility:hidden``, hidden inputs, closed details.
+templates, objects and media, ``hidden``, ``display:none``, ``visibility:hidden``, hidden inputs,
+closed details, what a drawing only defines or describes, annotations of formulas. Formulas,
+labels of drawings and all options of a select are text like any other.
 The tree is then written as text. White space collapses except in ``pre``; blocks stand on lines
 of their own, paragraphs and headings with a blank line around; list items carry a bullet or
 their number and are indented by depth; the cells of a table are padded to columns, spanning
-cells take the width of what they span.
+cells take the width of what they span and keep their columns in the rows they reach down to.
 
 Depth is bounded by closing nothing and nesting no further beyond ``DEPTH`` levels: deeper
-elements become children of the last level, so no text is lost.
+elements become children of the last level, so no text is lost; what is hidden there stays so.
 
 Defined cases: a NULL or empty page gives empty text and no blocks; a tag that is never closed
 by ``>`` is text; rows that repeat a page_id are pages of their own.
@@ -19,7 +21,9 @@ by ``>`` is text; rows that repeat a page_id are pages of their own.
 from __future__ import annotations
 
 import html
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,23 +37,26 @@ CHUNK_BYTES = 4 << 20
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("script style head title template noscript iframe object svg math datalist "
-                   "audio video canvas select noembed noframes".split())
+UNSEEN = frozenset("script style head title template noscript iframe object datalist "
+                   "audio video canvas noembed noframes".split())
+UNSEEN_IN = {"desc": "svg", "defs": "svg", "metadata": "svg", "symbol": "svg", "annotation": "math",
+             "annotation-xml": "math"}
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset".split())
 BLOCKS = SPACED | frozenset(
     "html body div section article aside header footer nav main address li dt dd tr caption thead tbody "
-    "tfoot form details summary figcaption legend center option td th".split())
+    "tfoot form details summary figcaption legend center option optgroup text td th".split())
 # Which open elements a start tag closes, and which elements it does not look beyond.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
     "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "body": ({"head"}, {"html"}),
 }
-CLOSE_P = BLOCKS - frozenset("html body tr td th option thead tbody tfoot caption summary legend figcaption".split())
+CLOSE_P = BLOCKS - frozenset("html body tr td th option optgroup text thead tbody tfoot caption summary legend figcaption".split())
 SCOPE = frozenset("table td th button".split())
 HEAD_ONLY = frozenset("base link meta title style script template noscript head html".split())
 
@@ -74,46 +81,79 @@ def attributes_of(text: str) -> dict[str, str]:
 
 
 class TreeBuilder:
+    """``open`` are all open elements, ``into`` where the content of each goes: into itself or,
+    below DEPTH, into the last level, or nowhere (None) if it is hidden."""
+
     def __init__(self):
         self.root = Node("html", {})
         self.open = [self.root]
+        self.into: list[Node | None] = [self.root]
+        self.count = Counter(["html"])
+
+    def push(self, node: Node, into: Node | None) -> None:
+        self.open.append(node)
+        self.into.append(into)
+        self.count[node.name] += 1
+
+    def cut(self, place: int) -> None:
+        for node in self.open[place:]:
+            self.count[node.name] -= 1
+        del self.open[place:], self.into[place:]
 
     def text(self, text: str) -> None:
         if self.open[-1].name == "head" and text.strip():
-            self.open.pop()
-        self.open[-1].children.append(html.unescape(text))
+            self.cut(len(self.open) - 1)
+        if self.into[-1] is not None:
+            self.into[-1].children.append(html.unescape(text))
 
     def close_open(self, names: set[str] | frozenset[str], scope: set[str] | frozenset[str]) -> None:
         """Close up to the outermost open element of these names within the scope."""
-        lowest = None
+        lowest, left = None, sum(self.count[name] for name in names)
         for place in range(len(self.open) - 1, 0, -1):
+            if not left:
+                break
             if self.open[place].name in names:
                 lowest = place
+                left -= 1
             elif self.open[place].name in scope:
                 break
         if lowest is not None:
-            del self.open[lowest:]
+            self.cut(lowest)
 
-    def start(self, name: str, attributes: dict[str, str]) -> None:
-        if name == "html" or (name == "body" and any(node.name == "body" for node in self.open)):
+    def foreign(self, name: str) -> bool:
+        return name in ("svg", "math") or self.count["svg"] > 0 or self.count["math"] > 0
+
+    def start(self, name: str, attributes: dict[str, str], closed: bool = False) -> None:
+        if name == "html" or (name == "body" and self.count["body"]):
             return
         if self.open[-1].name == "head" and name not in HEAD_ONLY:
-            self.open.pop()
+            self.cut(len(self.open) - 1)
         if name in CLOSE_P:
             self.close_open({"p"}, SCOPE)
         if name in CLOSES:
             self.close_open(*CLOSES[name])
-        node = Node(name, attributes)
-        self.open[-1].children.append(node)
-        if name not in VOID and len(self.open) < DEPTH:
-            self.open.append(node)
+        if self.count[UNSEEN_IN.get(name, "")]:
+            attributes = attributes | {"hidden": ""}
+        node, into = Node(name, attributes), self.into[-1]
+        if into is not None:
+            into.children.append(node)
+        if name in VOID or closed:
+            return
+        if len(self.open) < DEPTH - (name == "details"):
+            self.push(node, node)
+        elif not visible(node) or (name == "details" and "open" not in attributes):
+            self.push(node, None)
+        elif name == "summary" and self.open[-1].name == "details" and visible(self.open[-1]):
+            self.push(node, self.into[-2])
+        else:
+            self.push(node, into)
 
     def end(self, name: str) -> None:
-        if name == "p" and not any(node.name == "p" for node in self.open):
+        if not self.count[name]:
             return
         for place in range(len(self.open) - 1, 0, -1):
             if self.open[place].name == name:
-                del self.open[place:]
+                self.cut(place)
                 return
             if self.open[place].name in SCOPE and name not in ("table", "tr", "tbody", "thead", "tfoot", "body"):
                 return
@@ -131,12 +171,14 @@ def tree_of(page: str) -> Node:
         if tag[1]:
             builder.end(name)
             continue
-        builder.start(name, attributes_of(tag[3]) if tag[3] else {})
-        if name in RAW:
+        closed = tag[3].endswith("/") and builder.foreign(name)
+        builder.start(name, attributes_of(tag[3]) if tag[3] else {}, closed)
+        if name in RAW and not closed:
             end = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
             inside = page[at:end.start() if end else len(page)]
             at = end.end() if end else len(page)
-            builder.open[-1].children.append(html.unescape(inside))
+            if builder.into[-1] is not None:
+                builder.into[-1].children.append(html.unescape(inside))
             builder.end(name)
     if at < len(page):
         builder.text(page[at:])
@@ -200,13 +242,39 @@ def cell_text(node: Node) -> str:
     return " ".join(line.strip() for line in writer.lines if line.strip())
 
 
+def rows_of(node: Node) -> int:
+    """The rows a cell reaches over; 0 is all of its section."""
+    digits = node.attributes.get("rowspan", "1")
+    return int(digits) if digits.isascii() and digits.isdigit() and len(digits) < 6 else 1
+
+
 def span_of(node: Node) -> int:
     digits = node.attributes.get("colspan", "1")
     return min(max(int(digits), 1), 100) if digits.isascii() and digits.isdigit() and len(digits) < 5 else 1
 
 
+def placed_rows(rows: list[tuple[Node, list[Node]]]) -> Iterator[list[tuple[Node | None, int]]]:
+    """(cell, columns) of each row; None stands for a column a cell further up reaches into."""
+    section, taken = None, {}
+    for own, cells in rows:
+        if own is not section:  # no cell reaches out of its section
+            section, taken = own, {}
+        row, place, below = [], 0, {}
+        for cell in cells:
+            while place in taken:
+                row.append((None, 1))
+                place += 1
+            span, down = span_of(cell), rows_of(cell)
+            row.append((cell, span))
+            if down != 1:
+                below |= dict.fromkeys(range(place, place + span), down - 1 if down else math.inf)
+            place += span
+        taken = {column: left - 1 for column, left in taken.items() if left > 1} | below
+        yield row
+
+
 def write_table(node: Node, writer: Writer) -> None:
-    rows: list[list[tuple[str, int]]] = []
+    rows: list[tuple[Node, list[Node]]] = []  # section and cells
     captions: list[Node] = []
     loose: list = []
 
@@ -223,10 +291,9 @@ def write_table(node: Node, writer: Writer) -> None:
                 cells = [c for c in child.children if isinstance(c, Node) and c.name in ("td", "th") and visible(c)]
                 others = [c for c in child.children if c not in cells and (isinstance(c, Node) or c.strip())]
                 loose.extend(others)
-                if cells:
-                    rows.append([(cell_text(cell), span_of(cell)) for cell in cells])
+                rows.append((part, cells))
             elif child.name in ("td", "th"):
-                rows.append([(cell_text(child), span_of(child))])
+                rows.append((part, [child]))
             elif child.name == "caption":
                 captions.append(child)
             elif child.name not in ("colgroup", "col"):
@@ -238,14 +305,16 @@ def write_table(node: Node, writer: Writer) -> None:
         write(child, writer)
         writer.end_line()
     widths: list[int] = []
-    for row in rows:
+    placed = [row for row in placed_rows(rows) if any(cell is not None for cell, _ in row)]
+    texts = [[("" if cell is None else cell_text(cell), span) for cell, span in row] for row in placed]
+    for row in texts:
         place = 0
         for text, span in row:
             widths.extend([0] * (place + span - len(widths)))
             if span == 1:
                 widths[place] = max(widths[place], len(text))
             place += span
-    for row in rows:
+    for row in texts:
         line, place = [], 0
         for text, span in row:
             room = sum(widths[place:place + span]) + 2 * (span - 1)
@@ -317,6 +386,10 @@ def write(node: Node | str, writer: Writer, depth: int = 0) -> None:
         writer.inline(node.attributes.get("alt", ""))
     elif name == "input":
         writer.inline(node.attributes.get("value", ""))
+    elif name == "option" and not any(isinstance(c, Node) or c.strip() for c in node.children):
+        writer.end_line()
+        writer.inline(node.attributes.get("label", ""))
+        writer.end_line()
     elif name == "table":
         write_table(node, writer)
     elif name in ("ul", "ol", "menu"):
@@ -330,6 +403,9 @@ def write(node: Node | str, writer: Writer, depth: int = 0) -> None:
         around = writer.gap if name in SPACED and depth == 0 else writer.end_line if name in BLOCKS else None
         if around:
             around()
+        if name == "optgroup":
+            writer.inline(node.attributes.get("label", ""))
+            writer.end_line()
         outer = writer.prefix
         if name in ("dd", "blockquote"):
             writer.prefix = writer.first = outer + "    "

@@ -335,6 +335,32 @@ def test_html_rendering(spark):
     assert sorted(map(tuple, html_render.render_pages(table).collect())) == [(1, "", 0), (2, "", 0), (3, "a\n\nb", 2)]
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>Sum <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math> is", "Sum x+1 is"),
+    ("<p>a <svg><title>t</title><desc/><defs><text>d</text></defs><path d='M0'/><text>L1</text><text>L2</text>"
+     "<style>q</style></svg> b</p>", "a\nL1\nL2\nb"),
+    ("<p>a <svg><path d='M0'/></svg> b</p>", "a b"),
+    ("<select><option>One<option hidden>no<optgroup label=G><option>Two<option label=Three></select>",
+     "One\nG\nTwo\nThree"),
+    ("<desc>seen</desc>", "seen"),
+    ("<table><tr><td rowspan=2>A<td>B<td>C<tr><td>D<td>E<tr><td>F<td>G</table>", "A  B  C\n   D  E\nF  G"),
+    ("<table><tr><td>A<td rowspan=0>B<td>C<tr><td>D<td>E<tr><td>F<td>G</table>", "A  B  C\nD     E\nF     G"),
+    ("<table><thead><tr><td rowspan=9>A<td>B<tbody><tr><td>C<td>D</table>", "A  B\nC  D"),
+])
+def test_visible_text_is_whole(page, text):
+    assert html_render.rendered(page) == text
+
+
+@pytest.mark.parametrize("depth", [0, 100, 195, 196, 197, 198, 199, 200, 201, 5000])
+def test_hidden_text_below_depth_stays_hidden(depth):
+    inside = ("a<script>no</script><style>no</style><b hidden>no<i>no</i></b><p style='display:none'>no<p>b"
+              "<details>no<summary>c</summary>no</details><details open>d</details><u>e</u>")
+    page = "<div hidden>" + "<div>" * depth + inside + "</div>" * depth + "no</div>end"
+    assert html_render.rendered(page) == "end"
+    page = "<div>" * depth + inside + "</div>" * depth + "end"
+    assert "".join(html_render.rendered(page).split()) == "abcdeend"
+
+
 def test_archives(spark, new_path, monkeypatch):
     long = "<p>é</p>" * 200
     rows = [(1, "http://a/1", long), (2, "http://a/2\r\nX: y", long), (3, None, "x"), (4, "http://a/4", None),
