@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import (
-    decontaminate, html_render, language_id, license_scan, minhash_dedup, packing, rule_ensemble, secret_scan, sql,
-    suffix_dedup, topk_search, warc,
+    decontaminate, html_render, language_id, license_scan, minhash_dedup, packing, rule_ensemble, secret_scan,
+    source_divergence, sql, suffix_dedup, topk_search, warc,
 )
 from tallyloom.llm.common import tokenizer_path
 
@@ -64,6 +64,10 @@ def licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, folder, "documents"))
 
 
+def divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.source_divergence(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": archives,
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": languages,
         "op10_packing": packed,
         "op11_license_scan": licenses,
+        "op12_source_divergence": divergence,
     }
 
 

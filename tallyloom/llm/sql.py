@@ -39,4 +39,30 @@ ORACLES = {
                    WHERE q.doc_id % 100 = 0 GROUP BY 1, 2),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10""",
+    "op12_source_divergence": """
+        WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+                   FROM documents),
+             w AS (SELECT row, lang, source,
+                          unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+             t AS (SELECT lang, term, count(*) AS total FROM w GROUP BY 1, 2 HAVING count(DISTINCT row) >= 10),
+             c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY 1, 2, 3),
+             g AS (SELECT DISTINCT lang, source FROM d),
+             x AS (SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n, t.total
+                   FROM g JOIN t USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+             s AS (SELECT *, 1 + 1000000000::HUGEINT * (n + 2)
+                             // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p,
+                          1 + 1000000000::HUGEINT * (total + 2)
+                             // (sum(total) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS q
+                   FROM x),
+             v AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                   FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+             pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+                       FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                       LEFT JOIN v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source),
+             terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+                       FROM s WHERE n > 0 AND p > q),
+             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+                   FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+        SELECT * FROM r WHERE part = 'pair' OR rank <= 10""",
 }
