@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import (
-    decontaminate, html_render, language_id, license_scan, minhash_dedup, packing, rule_ensemble, secret_scan,
+    collocations, decontaminate, html_render, language_id, license_scan, minhash_dedup, packing, rule_ensemble, secret_scan,
     source_divergence, sql, suffix_dedup, topk_search, warc,
 )
 from tallyloom.llm.common import tokenizer_path
@@ -68,6 +68,10 @@ def divergence(spark: SparkSession, folder: str) -> DataFrame:
     return source_divergence.source_divergence(table(spark, folder, "documents"))
 
 
+def phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": archives,
@@ -82,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_packing": packed,
         "op11_license_scan": licenses,
         "op12_source_divergence": divergence,
+        "op13_collocations": phrases,
     }
 
 

@@ -65,4 +65,31 @@ ORACLES = {
              r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
                    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
         SELECT * FROM r WHERE part = 'pair' OR rank <= 10""",
+    "op13_collocations": """
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+             w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+             g AS (SELECT lang, 1 AS size, unnest(w) AS phrase FROM w
+                   UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')))
+                   FROM w WHERE len(w) >= 2
+                   UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))
+                   FROM w WHERE len(w) >= 3),
+             f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 10),
+             n AS (SELECT lang, count(*) AS n FROM g WHERE size = 1 GROUP BY 1),
+             c AS (SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+                   FROM f WHERE size > 1),
+             s AS (SELECT c.lang, c.phrase, c.a, c.size, k, x.f AS l, y.f AS r,
+                          1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS score
+                   FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+                          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+             b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+             i AS (SELECT lang, part, max(a) AS a FROM (
+                       SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part
+                       FROM c WHERE size = 3) GROUP BY 1, 2),
+             d AS (SELECT b.* FROM b LEFT JOIN i ON i.lang = b.lang AND i.part = b.phrase
+                   WHERE i.a IS NULL OR 100 * i.a < 50 * b.a),
+             o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d)
+        SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM o JOIN n USING (lang) WHERE rank <= 2000""",
 }
