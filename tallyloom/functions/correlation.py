@@ -31,11 +31,16 @@ def pearson(s: PairSums) -> Column:
     spread_y = F.sqrt(F.greatest(s.n * s.yy - s.y * s.y, F.lit(0.0)))
     score = F.try_divide(s.n * s.xy - s.x * s.y, spread_x * spread_y)
     # Rounding can leave a tiny spread where there is none, hence the exact test.
-    return F.when(s.x_varies & s.y_varies, score)
+    return F.when(s.x_varies & s.y_varies, in_range(score))
 
 
 def cosine(s: PairSums) -> Column:
-    return F.try_divide(s.xy, F.sqrt(s.xx) * F.sqrt(s.yy))
+    return in_range(F.try_divide(s.xy, F.sqrt(s.xx) * F.sqrt(s.yy)))
+
+
+def in_range(score: Column) -> Column:
+    """Rounding can push a score past the ends; NULL stays NULL."""
+    return F.when(score.isNotNull(), F.greatest(F.least(score, F.lit(1.0)), F.lit(-1.0)))
 
 
 METRICS = {"pearson": pearson, "cosine": cosine}

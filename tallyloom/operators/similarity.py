@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.correlation import PairSums, metric as metric_named
+from tallyloom.functions.correlation import metric as metric_named
+from tallyloom.operators.allpairs import pair_sums, sums_of_pairs
 from tallyloom.settings import written_table
 
 
@@ -89,13 +90,6 @@ def pair_metrics(ratings: DataFrame, item_id: int, metric: str = "pearson") -> D
     return sums.select("other_item_id", score_of(pair_sums()).alias("score"), "strength")
 
 
-def pair_sums() -> PairSums:
-    c = F.col
-    return PairSums(
-        n=c("n"), x=c("x"), y=c("y"), xx=c("xx"), yy=c("yy"), xy=c("xy"),
-        x_varies=c("max_x") > c("min_x"), y_varies=c("max_y") > c("min_y"))
-
-
 def similarity_stats(metrics: DataFrame) -> DataFrame:
     """One row about the distribution of scores and strengths."""
     return metrics.agg(
@@ -140,68 +134,29 @@ def item_similarity(
 def all_pairs_similarity(
     ratings: DataFrame, *, metric: str = "cosine", threshold: float = 0.95,
     min_common: int = 50, top_n: int | None = None, digits: int = 16,
-    busy_degree: int = 5000,
+    busy_degree: int = 5000, plan: str = "auto",
 ) -> DataFrame:
     """Every pair of items (``item_a < item_b``) that at least ``min_common`` users rated
     and that scores at least ``threshold``. Repeated ratings count as their mean, rows
-    without a rating do not count.
-
-    Work is kept in bounds without leaving out results:
+    without a rating do not count. A pair without a common user is never a result, so
+    ``min_common=0`` is the same as 1.
 
-    * An item with fewer than ``min_common`` raters is in no result pair and is dropped.
-    * A user with more than ``busy_degree`` items is busy. The busiest ``min_common - 1``
-      of them never have their pairs listed: together they fall short of ``min_common``,
-      so each result pair is also listed by some other user. They are added to those
-      pairs afterwards, from one small map per item.
-    * Further busy users are split: their items are spread over groups of about
-      ``busy_degree``, and each group meets all items of that user.
+    Work is kept in bounds without leaving out results: an item with fewer than
+    ``min_common`` raters is in no result pair and is dropped; lists of more than
+    ``busy_degree`` items are cut into blocks; and where that is less work, pairs that
+    cannot reach ``min_common`` are told before anything is summed (``allpairs``).
+    ``plan="pairs"`` and ``plan="prefix"`` choose one of the two ways.
 
-    The collapsed ratings, the items that count and the busy users are written to the
-    scratch folder first, as the join reads them several times; the rest is lazy.
+    The collapsed ratings and what is known of items and users are written to the scratch
+    folder first, as the joins read them several times; the rest is lazy.
     """
-    score_of = metric_named(metric)
+    score_of, common = metric_named(metric), max(min_common, 1)
     rated = written_table(one_rating_per_item(ratings.where(
         F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
         & F.col("rating").isNotNull())), "rated")
-    popular = written_table(
-        rated.groupBy("item_id").agg(F.count("*").alias("raters"))
-        .where(F.col("raters") >= min_common).select("item_id"), "popular")
-    kept = rated.join(popular, "item_id", "left_semi")
-
-    busy = (rated.groupBy("user_id").agg(F.count("*").alias("degree"))
-            .where(F.col("degree") > busy_degree))
-    busiest = (busy.orderBy(F.desc("degree"), "user_id").limit(min_common - 1)
-               .select("user_id", F.lit(True).alias("is_busiest")))
-    splits = written_table(busy.join(busiest, "user_id", "left").select(
-        "user_id", "is_busiest",
-        F.ceil(F.col("degree") / busy_degree).cast("int").alias("splits")), "splits")
-
-    marked = kept.join(splits, "user_id", "left")
-    listed = marked.where(F.col("is_busiest").isNull()).withColumn(
-        "splits", F.coalesce("splits", F.lit(1)))
-    left = listed.select(
-        "user_id", F.col("item_id").alias("item_a"), F.col("rating").alias("x"),
-        F.pmod(F.hash("item_id"), "splits").alias("part"))
-    right = listed.select(
-        "user_id", F.col("item_id").alias("item_b"), F.col("rating").alias("y"),
-        F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("part"))
-    # The sums are taken in the stage of the join: pairs are never written or shuffled
-    # one by one. The join is spread by key however small its inputs are, since the work
-    # grows with the pairs.
-    pairs = (
-        left.hint("merge").join(right, ["user_id", "part"]).where(F.col("item_a") < F.col("item_b"))
-        .groupBy("item_a", "item_b").agg(*list_sums())
-    )
-
-    maps = (marked.where(F.col("is_busiest")).groupBy("item_id", "is_busiest")
-            .agg(F.map_from_entries(F.collect_list(F.struct("user_id", "rating")))
-                 .alias("by_busiest")))
-    # A pair that misses min_common by more than the number of busiest users is out.
-    candidates = pairs.where(
-        F.col("n") + splits.agg(F.count("is_busiest")).scalar() >= min_common)
-    total = add_busiest(candidates, maps)
+    total = sums_of_pairs(rated, common, busy_degree, plan)
     out = (
-        total.where(F.col("n") >= min_common)
+        total.where(F.col("n") >= common)
         .select("item_a", "item_b", score_of(pair_sums()).alias("exact"),
                 F.col("n").alias("strength"))
         .where(F.col("exact") >= threshold)
@@ -211,49 +166,3 @@ def all_pairs_similarity(
         return out
     return out.orderBy(
         F.desc("score"), F.desc("strength"), "item_a", "item_b").limit(top_n)
-
-
-def list_sums() -> list[Column]:
-    x, y = F.col("x"), F.col("y")
-    return [
-        F.count("*").alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"),
-        F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"), F.sum(x * y).alias("xy"),
-        F.min(x).alias("min_x"), F.max(x).alias("max_x"),
-        F.min(y).alias("min_y"), F.max(y).alias("max_y"),
-    ]
-
-
-def add_busiest(pairs: DataFrame, maps: DataFrame) -> DataFrame:
-    """Add what the busiest users contribute to each pair. A map has one entry per
-    busiest user, so it holds fewer than ``min_common`` of them."""
-    of_a = maps.select(F.col("item_id").alias("item_a"), F.col("by_busiest").alias("map_a"))
-    of_b = maps.select(F.col("item_id").alias("item_b"), F.col("by_busiest").alias("map_b"))
-    both = F.array_intersect(F.map_keys("map_a"), F.map_keys("map_b"))
-    xs = F.transform("common", lambda user: F.element_at("map_a", user))
-    ys = F.transform("common", lambda user: F.element_at("map_b", user))
-
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
-
-    def products(one: str, two: str) -> Column:
-        return F.zip_with(one, two, lambda a, b: a * b)
-
-    added = (
-        pairs.join(of_a, "item_a", "left").join(of_b, "item_b", "left")
-        .withColumn("common", F.coalesce(both, F.array()))
-        .withColumns({"xs": xs, "ys": ys})
-    )
-    c = F.col
-    return added.select(
-        "item_a", "item_b",
-        (c("n") + F.size("common")).alias("n"),
-        (c("x") + total(c("xs"))).alias("x"),
-        (c("y") + total(c("ys"))).alias("y"),
-        (c("xx") + total(products("xs", "xs"))).alias("xx"),
-        (c("yy") + total(products("ys", "ys"))).alias("yy"),
-        (c("xy") + total(products("xs", "ys"))).alias("xy"),
-        F.least("min_x", F.array_min("xs")).alias("min_x"),
-        F.greatest("max_x", F.array_max("xs")).alias("max_x"),
-        F.least("min_y", F.array_min("ys")).alias("min_y"),
-        F.greatest("max_y", F.array_max("ys")).alias("max_y"),
-    )

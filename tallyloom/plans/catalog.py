@@ -149,6 +149,17 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         t.ratings_dense(), min_common=10, threshold=0.8, digits=9, top_n=50),
     "all_pairs_similarity_split": lambda t: sim.all_pairs_similarity(
         t.ratings_repeated(), min_common=10, threshold=0.8, digits=9, top_n=50, busy_degree=20),
+    "all_pairs_similarity_blocks": lambda t: sim.all_pairs_similarity(
+        t.ratings_repeated(), min_common=10, threshold=0.8, digits=9, top_n=50, busy_degree=20,
+        plan="pairs"),
+    "all_pairs_similarity_prefix": lambda t: sim.all_pairs_similarity(
+        t.ratings_dense(), min_common=10, threshold=0.8, digits=9, top_n=50, plan="prefix"),
+    "all_pairs_similarity_any": lambda t: sim.all_pairs_similarity(
+        t.ratings(), min_common=0, threshold=0.9, digits=9, top_n=50),
+    "all_pairs_similarity_sparse": lambda t: sim.all_pairs_similarity(
+        t.ratings(), min_common=3, threshold=0.5, digits=9, plan="prefix"),
+    "all_pairs_similarity_strict": lambda t: sim.all_pairs_similarity(
+        t.ratings_dense(), min_common=50, threshold=0.8, digits=9, top_n=50, plan="prefix"),
     "all_pairs_pearson": lambda t: sim.all_pairs_similarity(
         t.ratings_dense(), metric="pearson", min_common=10, threshold=0.0512345, digits=9),
     # articles

@@ -138,6 +138,8 @@ VIEWS = {
     "ratings_dense": """
         SELECT o_custkey AS user_id, l_suppkey AS item_id, avg(rating) AS rating
         FROM order_lines GROUP BY 1, 2""",
+    "ratings_single": """
+        SELECT user_id, item_id, avg(rating) AS rating FROM ratings GROUP BY 1, 2""",
     "ratings_repeated": """
         SELECT o_custkey AS user_id, l_suppkey AS item_id, rating FROM order_lines""",
     "users": """

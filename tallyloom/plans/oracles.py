@@ -149,15 +149,15 @@ def similar_to(ratings: str, items: str, item: int | str, score: str, min_common
         ORDER BY round(score, 9) DESC, strength DESC, other_item_id LIMIT {top_n}"""
 
 
-def all_pairs(score: str, threshold: float) -> str:
+def all_pairs(score: str, threshold: float, ratings: str = "ratings_dense", min_common: int = 10) -> str:
     return f"""
         SELECT item_a, item_b, round(score, 9) AS score, strength FROM (
             SELECT a.item_id AS item_a, b.item_id AS item_b, {score} AS score,
                    count(*) AS strength
-            FROM ratings_dense a JOIN ratings_dense b
+            FROM {ratings} a JOIN {ratings} b
               ON a.user_id = b.user_id AND a.item_id < b.item_id
             GROUP BY 1, 2)
-        WHERE strength >= 10 AND score >= {threshold}"""
+        WHERE strength >= {min_common} AND score >= {threshold}"""
 
 
 PAIR_COSINE = "sum(a.rating * b.rating) / (sqrt(sum(a.rating ^ 2)) * sqrt(sum(b.rating ^ 2)))"
@@ -234,6 +234,11 @@ QUERIES = {
     "item_similarity_deduped": similar_to("ratings_dense", "items_dense", 1, PEARSON, 10, 0.05),
     "all_pairs_similarity": f"{all_pairs(PAIR_COSINE, 0.8)} {TOP_PAIRS}",
     "all_pairs_similarity_split": f"{all_pairs(PAIR_COSINE, 0.8)} {TOP_PAIRS}",
+    "all_pairs_similarity_blocks": f"{all_pairs(PAIR_COSINE, 0.8)} {TOP_PAIRS}",
+    "all_pairs_similarity_prefix": f"{all_pairs(PAIR_COSINE, 0.8)} {TOP_PAIRS}",
+    "all_pairs_similarity_any": f"{all_pairs(PAIR_COSINE, 0.9, 'ratings_single', 0)} {TOP_PAIRS}",
+    "all_pairs_similarity_sparse": all_pairs(PAIR_COSINE, 0.5, "ratings_single", 3),
+    "all_pairs_similarity_strict": f"{all_pairs(PAIR_COSINE, 0.8, min_common=50)} {TOP_PAIRS}",
     "all_pairs_pearson": all_pairs(PAIR_PEARSON, 0.0512345),
     # articles
     "article_title": f"SELECT url, {page_title('html')} AS title FROM pages",
