@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tallyloom.functions.dates import iso_timestamp, publish_time
 from tallyloom.functions.html import parse_article
 from tallyloom.functions.text import clean_text
+from tallyloom.operators.ordering import ranked_within
+from tallyloom.settings import written_table
 
 logger = logging.getLogger(__name__)
 
@@ -110,18 +112,28 @@ def drop_empty(cleaned: DataFrame) -> DataFrame:
         (F.length("title_processed") > 0) & (F.length("text_processed") > 0))
 
 
+def text_digest(*names: str) -> Column:
+    """256 bits that tell texts apart; NULL differs from an empty text, and where one text
+    ends and the next begins matters."""
+    parts = [F.coalesce(F.concat(F.length(name).cast("string"), F.lit(":"), F.col(name)), F.lit("-"))
+             for name in names]
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
 def deduplicate(articles: DataFrame, *within: str) -> DataFrame:
     """One article of each (title, text), within groups of the given columns: the
-    earliest published, then the smallest url and source.
+    earliest published, undated ones last, then the smallest url and source.
 
-    Every map task keeps one row per group before the shuffle, so a text that makes up a
-    third of the input still sends only one row per task. The hash in front decides
-    nothing; it lets Spark sort by a number and compare long texts only where it ties.
+    Articles are told apart by a digest, so that long texts are neither compared nor part
+    of a sort key. Every map task keeps one row per group before the shuffle, so a text
+    that makes up a third of the input still sends only one row per task.
     """
-    key = ["title", "text", *within]
-    first = Window.partitionBy(F.xxhash64(*key), *key).orderBy("published", "url", "source")
-    return (articles.withColumn("copy", F.row_number().over(first))
-            .where(F.col("copy") == 1).drop("copy"))
+    digest = "digest__"
+    first = Window.partitionBy(digest, *within).orderBy(
+        F.asc_nulls_last("published"), "url", "source")
+    return (articles.withColumn(digest, text_digest("title", "text"))
+            .withColumn("copy", F.row_number().over(first))
+            .where(F.col("copy") == 1).drop("copy", digest))
 
 
 def process_articles(articles: DataFrame, *within: str) -> DataFrame:
@@ -158,8 +170,37 @@ def tag_tickers(
 
 def latest_per_ticker(tagged: DataFrame, count: int = ARTICLES_PER_TICKER) -> DataFrame:
     """The last published articles of each ticker; articles without a date come last.
-    Map tasks pass on at most ``count`` rows per ticker."""
-    newest = Window.partitionBy("ticker").orderBy(
-        F.desc_nulls_last("published"), "url", "title", "text")
-    return (tagged.withColumn("position", F.row_number().over(newest))
-            .where(F.col("position") <= count))
+
+    Up to the count Spark limits ranks for inside of tasks (1,000 by default), map tasks
+    pass on at most ``count`` rows per ticker. For any larger count, articles older than
+    needed go first (``recent_enough``), and the others are ranked over many tasks.
+    """
+    order = [F.desc_nulls_last("published"), F.asc("url"), F.asc("title"), F.asc("text")]
+    limited = tagged.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if count <= int(limited):
+        newest = Window.partitionBy("ticker").orderBy(*order)
+        ranked = tagged.withColumn("position", F.row_number().over(newest))
+    else:
+        ranked = ranked_within(recent_enough(tagged, count), ["ticker"], order, label="latest").withColumn(
+            "position", F.col("position").cast("int"))
+    return ranked.where(F.col("position") <= count)
+
+
+def recent_enough(tagged: DataFrame, count: int) -> DataFrame:
+    """The articles that can be among the last ``count`` of their ticker, all ties included.
+
+    The number of articles per ticker and hour, added up inside of tasks first, gives the
+    hour that reaches ``count``; whatever is older is dropped where it is read. Articles
+    without a date stay only where the dated ones do not suffice.
+    """
+    hour = F.date_trunc("hour", "published")
+    hours = tagged.groupBy("ticker", hour.alias("hour")).agg(F.count("*").alias("articles"))
+    later = Window.partitionBy("ticker").orderBy(F.desc_nulls_last("hour")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    needed = hours.withColumn("later", F.coalesce(F.sum("articles").over(later), F.lit(0))).where(
+        F.col("later") < count)
+    bounds = written_table(needed.groupBy(F.col("ticker").alias("of_ticker")).agg(
+        F.min("hour").alias("since"), F.bool_or(F.col("hour").isNull()).alias("undated")), "bounds")
+    reached = F.col("undated") | (F.col("published") >= F.col("since"))
+    return (tagged.join(bounds, tagged["ticker"].eqNullSafe(bounds["of_ticker"]))
+            .where(reached).select(*tagged.columns))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 from collections.abc import Callable
 
@@ -10,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
+from tallyloom.functions.scoring import NEUTRAL
 from tallyloom.functions.text import clean_text, preview
 from tallyloom.operators import articles as art
 from tallyloom.operators import quality, ratings as rat, sentiment, similarity as sim
 from tallyloom.plans.fixtures import INGESTED_AT, RUN_AT, TICKERS, Tables
 from tallyloom.plans import reports
-from tallyloom.settings import scratch_path
-from tallyloom.sources import delimited, results
+from tallyloom.settings import scratch_path, written_table
+from tallyloom.sources import delimited, results, store
 
 TARGET = "Supplier#000000001"  # supplier 1, an item of every test scale
 FIXTURE_SIMILARITY = {"min_common": 10, "threshold": 0.05, "digits": 9}
@@ -64,13 +66,16 @@ def captured(t: Tables) -> DataFrame:
     return art.extract_articles(t.pages(), "captured", INGESTED_AT)
 
 
+def dated(articles: DataFrame) -> DataFrame:
+    return articles.withColumn("published", art.iso_timestamp(F.col("published")))
+
+
 def tagged(t: Tables) -> DataFrame:
     return art.tag_tickers(t.articles(), TICKERS)
 
 
-def latest_per_ticker(t: Tables) -> DataFrame:
-    dated = tagged(t).withColumn("published", art.iso_timestamp(F.col("published")))
-    return art.latest_per_ticker(dated).select("ticker", "url", "published", "position")
+def latest_per_ticker(t: Tables, count: int = art.ARTICLES_PER_TICKER) -> DataFrame:
+    return art.latest_per_ticker(dated(tagged(t)), count).select("ticker", "url", "published", "position")
 
 
 def flaky_scorer() -> Callable[[pd.Series], pd.Series]:
@@ -86,11 +91,51 @@ def flaky_scorer() -> Callable[[pd.Series], pd.Series]:
     return score
 
 
+def scored(t: Tables) -> DataFrame:
+    return sentiment.score_articles(art.process_articles(t.articles()))
+
+
 def stored(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "sentiment")
-    results.store_sentiment(
-        sentiment.score_articles(art.process_articles(t.articles())), path, RUN_AT)
-    return results.read_sentiment(t.spark, path)
+    store.store_sentiment(scored(t), path, RUN_AT)
+    return store.read_sentiment(t.spark, path)
+
+
+def stored_neutral(t: Tables) -> DataFrame:
+    """Many articles that differ in nothing but their text."""
+    path = scratch_path(t.spark, "neutral")
+    neutral = t.articles().select(
+        "source", "title", F.lit(NEUTRAL).alias("sentiment_score"), F.lit("HDFC").alias("ticker"))
+    store.store_sentiment(neutral, path, RUN_AT)
+    return store.read_sentiment(t.spark, path)
+
+
+def two_runs(t: Tables) -> str:
+    """A store of two days, in files of 64 rows."""
+    path = scratch_path(t.spark, "store")
+    articles = written_table(scored(t), "scored")
+    for run_at in (RUN_AT - dt.timedelta(days=1), RUN_AT):
+        store.store_sentiment(articles, path, run_at, rows_per_file=64)
+    return path
+
+
+def stored_day(t: Tables) -> DataFrame:
+    day = (RUN_AT - dt.timedelta(days=1)).date()
+    found = store.read_sentiment(t.spark, two_runs(t), first_date=day, last_date=day, with_run_date=True)
+    return found.withColumn("run_date", F.col("run_date").cast("string"))
+
+
+def deep_page(t: Tables) -> DataFrame:
+    """From the last rows of the newer run on to the older one."""
+    path = two_runs(t)
+    first_run = store.rows_of_run(t.spark, path, RUN_AT)
+    return store.stored_page(t.spark, path, limit=40, offset=first_run - 20)
+
+
+def page_after(t: Tables) -> DataFrame:
+    path = two_runs(t)
+    last = store.stored_page(t.spark, path, limit=1, offset=99).first()
+    return store.page_after(t.spark, path, RUN_AT, last["id"], limit=30)
 
 
 def rated_stats(t: Tables) -> DataFrame:
@@ -180,13 +225,21 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "article_process": lambda t: art.with_iso_dates(art.process_articles(t.articles())),
     "ticker_tag": lambda t: tagged(t).select("url", "ticker"),
     "latest_per_ticker": latest_per_ticker,
+    "latest_per_ticker_5000": lambda t: latest_per_ticker(t, 5000),
     "article_dedup_by_ticker": lambda t: art.deduplicate(tagged(t), "ticker").select(
         "url", "ticker"),
+    "article_dedup_dated": lambda t: art.deduplicate(dated(t.articles())).select("url", "published"),
+    "article_dedup_by_ticker_dated": lambda t: art.deduplicate(dated(tagged(t)), "ticker").select(
+        "url", "ticker", "published"),
     # sentiment
     "sentiment_score": lambda t: sentiment.score_articles(art.process_articles(t.articles())),
     "sentiment_fallback": lambda t: sentiment.score_articles_in_batches(
         art.process_articles(t.articles()), flaky_scorer),
     "sentiment_store": stored,
+    "sentiment_store_neutral": stored_neutral,
+    "sentiment_store_day": stored_day,
+    "sentiment_page_deep": deep_page,
+    "sentiment_page_after": page_after,
     "sentiment_page": lambda t: results.sentiment_page(stored(t), limit=100, offset=50),
     # checks
     "dq_rules": lambda t: quality.rule_checks(t.ratings().select(

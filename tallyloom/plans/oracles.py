@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-from tallyloom.plans.fixtures import TICKERS, VIEWS
+from tallyloom.plans.fixtures import RUN_AT, TICKERS, VIEWS
+
+RUN_KEY, RUN_TIME = f"{RUN_AT:%Y%m%dT%H%M%S.%fZ}-", f"{RUN_AT:%Y-%m-%d %H:%M:%S}"
 
 SPACE = (r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
@@ -97,7 +99,7 @@ DERIVED = VIEWS | {
     "distinct_articles": """
         SELECT * EXCLUDE (copy) FROM (
             SELECT *, row_number() OVER (PARTITION BY title, text
-                      ORDER BY published NULLS FIRST, url, source) AS copy FROM dated)
+                      ORDER BY published NULLS LAST, url, source) AS copy FROM dated)
         WHERE copy = 1""",
     "processed": f"""
         SELECT * FROM (SELECT *, {clean('title')} AS title_processed,
@@ -108,15 +110,29 @@ DERIVED = VIEWS | {
                {hash_score("concat_ws(' ', title_processed, text_processed)")} AS sentiment_score,
                'HDFC' AS ticker, md5(concat_ws(' ', title_processed, text_processed)) AS digest
         FROM processed""",
-    "stored": """
-        SELECT md5(concat_ws(chr(31), '2024-03-02', coalesce(source, ''), ticker,
-                             coalesce(title, ''),
-                             CAST(CAST(floor(sentiment_score * 1e9) AS BIGINT) AS VARCHAR))) AS id,
-               source, ticker, title, sentiment_score,
-               TIMESTAMP '2024-03-02 19:00:00' AS created_at
+    "stored": f"""
+        SELECT concat('{RUN_KEY}', lpad(CAST(row_number() OVER (
+                   ORDER BY source NULLS FIRST, ticker, title NULLS FIRST, sentiment_score)
+                   AS VARCHAR), 12, '0')) AS id,
+               source, ticker, title, sentiment_score, TIMESTAMP '{RUN_TIME}' AS created_at
         FROM scored""",
+    "stored_neutral": f"""
+        SELECT concat('{RUN_KEY}', lpad(CAST(row_number() OVER (
+                   ORDER BY source NULLS FIRST, title NULLS FIRST) AS VARCHAR), 12, '0')) AS id,
+               source, 'HDFC' AS ticker, title, 0.5::DOUBLE AS sentiment_score,
+               TIMESTAMP '{RUN_TIME}' AS created_at
+        FROM articles""",
+    "two_runs": f"""
+        SELECT * FROM stored
+        UNION ALL SELECT replace(id, '20240302', '20240301'), source, ticker, title, sentiment_score,
+                         created_at - INTERVAL 1 DAY FROM stored""",
     "tagged": """
         SELECT a.*, ticker FROM articles a JOIN tickers ON contains(a.text, ticker)""",
+    "newest": f"""
+        SELECT ticker, url, published, CAST(row_number() OVER (PARTITION BY ticker
+                   ORDER BY published DESC NULLS LAST, url, title, text) AS INT) AS position
+        FROM (SELECT title, text, url, ticker, {iso_timestamp('published')} AS published
+              FROM tagged)""",
 }
 
 
@@ -264,24 +280,26 @@ QUERIES = {
     "article_dedup": """
         SELECT title, text, published, url, source FROM (
             SELECT *, row_number() OVER (PARTITION BY title, text
-                      ORDER BY published, url, source) AS copy FROM articles)
+                      ORDER BY published NULLS LAST, url, source) AS copy FROM articles)
         WHERE copy = 1""",
     "article_process": """
         SELECT title, text, strftime(published, '%Y-%m-%dT%H:%M:%S') AS published, url, source,
                title_processed, text_processed, title AS title_original, text AS text_original
         FROM processed""",
     "ticker_tag": "SELECT url, ticker FROM tagged",
-    "latest_per_ticker": f"""
-        SELECT ticker, url, published, position FROM (
-            SELECT *, row_number() OVER (PARTITION BY ticker
-                      ORDER BY published DESC NULLS LAST, url, title, text) AS position
-            FROM (SELECT title, text, url, ticker, {iso_timestamp('published')} AS published
-                  FROM tagged))
-        WHERE position <= 5""",
+    "latest_per_ticker": "SELECT * FROM newest WHERE position <= 5",
+    "latest_per_ticker_5000": "SELECT * FROM newest WHERE position <= 5000",
     "article_dedup_by_ticker": """
         SELECT url, ticker FROM (
             SELECT *, row_number() OVER (PARTITION BY title, text, ticker
-                      ORDER BY published, url, source) AS copy FROM tagged)
+                      ORDER BY published NULLS LAST, url, source) AS copy FROM tagged)
+        WHERE copy = 1""",
+    "article_dedup_dated": "SELECT url, published FROM distinct_articles",
+    "article_dedup_by_ticker_dated": """
+        SELECT url, ticker, published FROM (
+            SELECT d.*, ticker, row_number() OVER (PARTITION BY d.title, d.text, ticker
+                      ORDER BY d.published NULLS LAST, d.url, d.source) AS copy
+            FROM dated d JOIN tickers ON contains(d.text, ticker))
         WHERE copy = 1""",
     # sentiment
     "sentiment_score": "SELECT source, title, sentiment_score, ticker FROM scored",
@@ -293,6 +311,18 @@ QUERIES = {
     "sentiment_page": """
         SELECT source, ticker, title, sentiment_score, created_at FROM stored
         ORDER BY created_at DESC, id LIMIT 100 OFFSET 50""",
+    "sentiment_store_neutral": "SELECT * FROM stored_neutral",
+    "sentiment_store_day": f"""
+        SELECT *, strftime(created_at, '%Y-%m-%d') AS run_date FROM two_runs
+        WHERE created_at < TIMESTAMP '{RUN_TIME}'""",
+    "sentiment_page_deep": """
+        SELECT * FROM two_runs
+        ORDER BY created_at DESC, id LIMIT 40 OFFSET (SELECT count(*) - 20 FROM stored)""",
+    "sentiment_page_after": """
+        SELECT * FROM two_runs
+        WHERE created_at < (SELECT max(created_at) FROM two_runs) OR id > (
+            SELECT id FROM stored ORDER BY id LIMIT 1 OFFSET 99)
+        ORDER BY created_at DESC, id LIMIT 30""",
     # checks
     "dq_rules": """
         SELECT false AS all_ok, count(*) = count(item_id + rating) AS null_check,

@@ -2,57 +2,19 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.functions.dates import timestamp_literal
-
-# Fixed value: between the parts of a row key.
-UNIT_SEPARATOR = "\x1f"
-
-
-def row_key(*parts: Column) -> Column:
-    """A key that only depends on the values, so that a rerun gives the same one."""
-    texts = [F.coalesce(part.cast("string"), F.lit("")) for part in parts]
-    return F.md5(F.concat_ws(UNIT_SEPARATOR, *texts))
-
-
-def stored_sentiment(scored: DataFrame, run_at: dt.datetime) -> DataFrame:
-    """Scored articles in the layout of the stored table, plus the partition column."""
-    created = timestamp_literal(run_at)
-    run_date = F.to_date(created)
-    billionths = F.floor(F.col("sentiment_score") * F.lit(1e9))
-    key = row_key(run_date, F.col("source"), F.col("ticker"), F.col("title"), billionths)
-    return scored.select(
-        key.alias("id"), "source", "ticker", "title",
-        F.col("sentiment_score").cast("double").alias("sentiment_score"),
-        created.alias("created_at"), run_date.alias("run_date"))
-
-
-def store_sentiment(
-    scored: DataFrame, path: str, run_at: dt.datetime, replace_run: bool = False
-) -> None:
-    """Append the scores of a run. With ``replace_run`` they take the place of whatever
-    that day already holds, so a retry does not store rows twice."""
-    writer = stored_sentiment(scored, run_at).write.partitionBy("run_date")
-    if replace_run:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(path)
-
+from tallyloom.sources.store import read_sentiment, store_sentiment, stored_sentiment
 
-def read_sentiment(spark: SparkSession, path: str) -> DataFrame:
-    """The stored scores; the partition column stays out of the result."""
-    return (spark.read.schema(schemas.STORED_SENTIMENT).parquet(path)
-            .select(*schemas.STORED_SENTIMENT.fieldNames()))
+__all__ = ["read_sentiment", "store_sentiment", "stored_sentiment", "sentiment_page",
+           "append_run_metrics", "read_run_metrics", "write_jdbc", "read_jdbc", "write_bundle"]
 
 
 def sentiment_page(stored: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
-    """A page of the stored scores, newest first, then by key."""
+    """A page of any table of scores, newest first, then by id. Pages of a store come from
+    its index (``store.stored_page``), which does not sort what lies before them."""
     return (
         stored.orderBy(F.desc("created_at"), "id").offset(offset).limit(limit)
         .select("source", "ticker", "title", "sentiment_score", "created_at"))

@@ -109,13 +109,13 @@ def test_processing(spark):
         article("Same", "one", url="c"), article("Same", "two", url="d"))
     processed = art.process_articles(articles)
     assert sorted(values(processed, "url", "title_processed", "text_processed")) == [
-        ("b", "t", "x 5 percent"), ("c", "same", "one"), ("d", "same", "two")]
+        ("a", "t", "x 5 percent"), ("c", "same", "one"), ("d", "same", "two")]
     assert processed.columns == [
         "title", "text", "published", "url", "source", "title_processed", "text_processed",
         "title_original", "text_original"]
     written = art.with_iso_dates(processed)
     assert sorted(values(written, "url", "published")) == [
-        ("b", None), ("c", "2024-01-01T00:00:00"), ("d", "2024-01-01T00:00:00")]
+        ("a", "2024-01-01T00:00:00"), ("c", "2024-01-01T00:00:00"), ("d", "2024-01-01T00:00:00")]
     assert plan_of(art.process_articles(articles)).count("Exchange hashpartitioning") == 1
 
 
@@ -144,3 +144,18 @@ def test_tickers(spark):
     plan = plan_of(latest)
     assert plan.count("WindowGroupLimit") == 2 and "Join" not in plan
     assert art.deduplicate(tagged.withColumn("text", F.lit("x")), "ticker").count() == 2
+
+
+def test_undated_copies_come_last(spark):
+    rows = [("t", "x", None, "a", "s"), ("t", "x", dt.datetime(2024, 1, 2), "c", "s"),
+            ("t", "x", dt.datetime(2024, 1, 1), "d", "s"), ("t", "y", None, "f", "s"), ("t", "y", None, "e", "s")]
+    articles = spark.createDataFrame(rows, "title string, text string, published timestamp, url string, source string")
+    assert sorted(values(art.deduplicate(articles), "url")) == ["d", "e"]
+
+
+def test_digests_keep_columns_apart(spark):
+    rows = [("ab", "c"), ("a", "bc"), ("", None), (None, ""), (None, None), ("", ""), ("1:a", "-"), ("ab", "c")]
+    articles = table(spark, *[article(title, text, url=str(k)) for k, (title, text) in enumerate(rows)])
+    assert sorted(values(art.deduplicate(articles), "url")) == [str(k) for k in range(7)]
+    digest = articles.select(F.length(art.text_digest("title", "text")).alias("n"))
+    assert set(values(digest, "n")) == {32}
