@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,34 +18,53 @@ NEUTRAL = 0.5
 BatchScorer = Callable[[pd.Series], pd.Series]
 
 
-def hash_score(text: Column) -> Column:
-    """Deterministic stand-in for a model: evenly spread over [0, 1], native."""
-    leading = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return leading / F.lit(4294967295.0)
+def lexicon_scorer(positive: Sequence[str], negative: Sequence[str]) -> Callable[[Column], Column]:
+    """A scorer of Spark expressions: the share of positive words among all words of the two
+    lists, neutral for a text without any or without text. Words are what blanks separate."""
+    lists = {"for": list(positive), "against": list(negative)}
+    if not all(lists.values()):
+        raise ValueError("both word lists need a word")
 
+    def score(text: Column) -> Column:
+        words = F.split(F.coalesce(text, F.lit("")), r"\s+")
+        good, bad = (F.size(F.filter(words, lambda word: word.isin(some))) for some in lists.values())
+        return F.coalesce(F.try_divide(good, good + bad), F.lit(NEUTRAL))
+
+    return score
 
-def retry_once(call: Callable[[], pd.Series]) -> pd.Series | None:
-    """The result of the call or of its one repetition, None if both fail."""
-    for attempt in (1, 2):
-        try:
-            return call()
-        except Exception as error:  # a scorer is foreign code and may raise anything
-            logger.warning("scorer failed, attempt %d: %s", attempt, error)
-    return None
+
+def checked(scorer: BatchScorer, texts: pd.Series) -> list[float]:
+    """Scores of a batch; an answer of the wrong length or a score that is no number in
+    [0, 1] counts as a failure."""
+    scores = [float(score) for score in scorer(texts)]
+    if len(scores) != len(texts):
+        raise ValueError(f"{len(scores)} scores for {len(texts)} texts")
+    if not all(math.isfinite(score) and 0 <= score <= 1 for score in scores):
+        raise ValueError("a score is not within 0 and 1")
+    return scores
 
 
 def score_batch(scorer: BatchScorer, texts: pd.Series) -> pd.Series:
-    """Score a batch; if the whole batch fails twice, score its rows one by one so that
-    a bad row costs only itself. A row that fails twice gets the neutral score."""
-    scores = retry_once(lambda: scorer(texts).astype("float64"))
-    if scores is not None:
-        return scores
-    rows = []
-    for position in range(len(texts)):
-        row = texts.iloc[position:position + 1]
-        scored = retry_once(lambda: scorer(row).astype("float64"))
-        rows.append(NEUTRAL if scored is None else scored.iloc[0])
-    return pd.Series(rows, index=texts.index, dtype="float64")
+    """Score a batch. One that fails is halved, and so on down to single rows; a single row
+    is tried twice and then gets the neutral score.
+
+    A batch of n rows takes one call if nothing fails; each bad row adds at most two calls
+    per halving. If everything fails, there are less than 3 n calls.
+    """
+    scores = [NEUTRAL] * len(texts)
+    parts = [(0, len(texts), 1)] if len(texts) else []
+    while parts:
+        begin, end, attempt = parts.pop()
+        try:
+            scores[begin:end] = checked(scorer, texts.iloc[begin:end])
+        except Exception as error:  # a scorer is foreign code and may raise anything
+            logger.warning("scorer failed on %d rows: %s", end - begin, error)
+            if end - begin > 1:
+                middle = (begin + end) // 2
+                parts += [(middle, end, 1), (begin, middle, 1)]
+            elif attempt == 1:
+                parts.append((begin, end, 2))
+    return pd.Series(scores, index=texts.index, dtype="float64")
 
 
 def batch_mapper(

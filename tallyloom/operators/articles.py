@@ -5,17 +5,19 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.dates import iso_timestamp, publish_time
 from tallyloom.functions.html import parse_article
 from tallyloom.functions.text import clean_text
 from tallyloom.operators.ordering import ranked_within
-from tallyloom.settings import written_table
+from tallyloom.settings import scratch_path, written_table
 
 logger = logging.getLogger(__name__)
 
@@ -24,6 +26,8 @@ TICKERS = ("HDFC", "Tata Motors")
 ARTICLES_PER_TICKER = 5
 
 PARSED_COLUMNS = ("title", "text", "published", "url", "source", "status")
+# What becomes of a page.
+STATUSES = ("ok", "no_content", "failed")
 
 
 def parse_pages(
@@ -65,6 +69,27 @@ def parse_pages(
         parse_batches, ", ".join(f"{name} string" for name in PARSED_COLUMNS))
 
 
+@dataclass(frozen=True)
+class WrittenPages:
+    """Parsed pages, read back from a table with one folder per status, and the number of
+    pages of each status."""
+
+    pages: DataFrame
+    counts: dict[str, int]
+
+
+def written_pages(parsed: DataFrame) -> WrittenPages:
+    """Writes the parse, so that pages are parsed once however often they are used: good
+    pages and bad ones are then read from folders of their own. The counts are taken on the
+    way by the job that writes."""
+    spark, counted = parsed.sparkSession, Observation("pages")
+    path = scratch_path(spark, "pages")
+    by_status = [F.count_if(F.col("status") == status).alias(status) for status in STATUSES]
+    parsed.observe(counted, *by_status).write.partitionBy("status").parquet(path)
+    schema = T.StructType([*(T.StructField(name, T.StringType()) for name in PARSED_COLUMNS)])
+    return WrittenPages(spark.read.schema(schema).parquet(path), dict(counted.get))
+
+
 def parsed_articles(parsed: DataFrame) -> DataFrame:
     """The article records of all pages that could be parsed. Missing parts carry their
     placeholder text."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.scoring import BatchScorer, batch_mapper, hash_score
+from tallyloom.functions.scoring import BatchScorer, batch_mapper
 
 # Fixed value: the ticker of every scored article unless the articles carry their own.
 DEFAULT_TICKER = "HDFC"
@@ -22,7 +22,7 @@ def scoring_input(processed: DataFrame, ticker: str | Column = DEFAULT_TICKER) -
 
 
 def score_articles(
-    processed: DataFrame, scorer: Callable[[Column], Column] = hash_score,
+    processed: DataFrame, scorer: Callable[[Column], Column],
     ticker: str | Column = DEFAULT_TICKER,
 ) -> DataFrame:
     """Score with a native expression."""
@@ -35,8 +35,8 @@ def score_articles_in_batches(
     ticker: str | Column = DEFAULT_TICKER,
 ) -> DataFrame:
     """Score with a Python scorer over Arrow batches. The factory runs once per
-    partition. A failing batch is retried once, then scored row by row, where a row that
-    fails twice gets the neutral score."""
+    partition. A failing batch is halved until the bad rows are alone; a row that fails
+    twice gets the neutral score."""
     scored = scoring_input(processed, ticker).mapInPandas(
         batch_mapper(scorer_factory, "combined_text", "sentiment_score"),
         "source string, title string, ticker string, sentiment_score double")

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.functions.scoring import NEUTRAL
+from tallyloom.functions.scoring import NEUTRAL, lexicon_scorer
 from tallyloom.functions.text import clean_text, preview
 from tallyloom.operators import articles as art
 from tallyloom.operators import quality, ratings as rat, sentiment, similarity as sim
-from tallyloom.plans.fixtures import INGESTED_AT, RUN_AT, TICKERS, Tables
+from tallyloom.plans.fixtures import INGESTED_AT, NEGATIVE, POSITIVE, RUN_AT, TICKERS, Tables, hash_score
 from tallyloom.plans import reports
 from tallyloom.settings import scratch_path, written_table
 from tallyloom.sources import delimited, results, store
@@ -91,8 +91,14 @@ def flaky_scorer() -> Callable[[pd.Series], pd.Series]:
     return score
 
 
+def page_counts(t: Tables) -> DataFrame:
+    """The pages of a run by status, as the job that parsed them counted."""
+    run = reports.article_run({"captured": t.pages_damaged()}, INGESTED_AT, hash_score)
+    return t.spark.createDataFrame(list(run.pages.items()), "status string, pages long")
+
+
 def scored(t: Tables) -> DataFrame:
-    return sentiment.score_articles(art.process_articles(t.articles()))
+    return sentiment.score_articles(art.process_articles(t.articles()), hash_score)
 
 
 def stored(t: Tables) -> DataFrame:
@@ -232,7 +238,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "article_dedup_by_ticker_dated": lambda t: art.deduplicate(dated(tagged(t)), "ticker").select(
         "url", "ticker", "published"),
     # sentiment
-    "sentiment_score": lambda t: sentiment.score_articles(art.process_articles(t.articles())),
+    "sentiment_score": scored,
+    "sentiment_lexicon": lambda t: sentiment.score_articles(
+        art.process_articles(t.articles()), lexicon_scorer(POSITIVE, NEGATIVE)),
+    "article_pipeline": lambda t: reports.article_sentiment(
+        {"captured": t.pages_damaged()}, INGESTED_AT, lexicon_scorer(POSITIVE, NEGATIVE)),
+    "article_pipeline_by_ticker": lambda t: reports.ticker_sentiment(
+        {"captured": t.pages_damaged()}, INGESTED_AT, lexicon_scorer(POSITIVE, NEGATIVE), TICKERS),
+    "article_pipeline_pages": page_counts,
     "sentiment_fallback": lambda t: sentiment.score_articles_in_batches(
         art.process_articles(t.articles()), flaky_scorer),
     "sentiment_store": stored,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.settings import apply_session_conf
@@ -16,6 +16,13 @@ ITEM_WORDS = (
     "large", "ring", "rod", "gizmo", "old", "cold", "anvil", "new",
 )
 TICKERS = ("the", "que", "der")
+POSITIVE, NEGATIVE = ("the", "and", "que", "der", "la"), ("of", "to", "en", "die", "is")
+
+
+def hash_score(text: Column) -> Column:
+    """Evenly spread scores for tests of what comes before and after a scorer."""
+    leading = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return leading / F.lit(4294967295.0)
 
 
 class Tables:

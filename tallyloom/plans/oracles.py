@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tallyloom.plans.fixtures import RUN_AT, TICKERS, VIEWS
+from tallyloom.plans.fixtures import NEGATIVE, POSITIVE, RUN_AT, TICKERS, VIEWS
 
 RUN_KEY, RUN_TIME = f"{RUN_AT:%Y%m%dT%H%M%S.%fZ}-", f"{RUN_AT:%Y-%m-%d %H:%M:%S}"
 
@@ -44,6 +44,12 @@ def hash_score(text: str) -> str:
     return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT / 4294967295.0::DOUBLE)"
 
 
+def lexicon_score(text: str) -> str:
+    good, bad = (f"len(list_filter(string_split_regex({text}, '[\\t-\\r ]+'), lambda w: w IN {some}))"
+                 for some in (POSITIVE, NEGATIVE))
+    return f"coalesce(CAST({good} AS DOUBLE) / nullif({good} + {bad}, 0), 0.5)"
+
+
 def markup_text(html: str) -> str:
     """Text of a fragment: no comments, scripts, styles or tags; entities decoded."""
     out = html
@@ -126,6 +132,15 @@ DERIVED = VIEWS | {
         SELECT * FROM stored
         UNION ALL SELECT replace(id, '20240302', '20240301'), source, ticker, title, sentiment_score,
                          created_at - INTERVAL 1 DAY FROM stored""",
+    "page_records": f"""
+        SELECT {page_title("coalesce(html, '')")} AS title, {page_text("coalesce(html, '')")} AS text, url,
+               CASE WHEN html IS NULL THEN 'failed'
+                    WHEN html LIKE '%<h1>%' OR html LIKE '%<article>%' THEN 'ok' ELSE 'no_content' END AS status
+        FROM pages_damaged""",
+    "clean_records": f"""
+        SELECT * FROM (SELECT *, {clean('title')} AS title_processed, {clean('text')} AS text_processed
+                       FROM page_records WHERE status <> 'failed')
+        WHERE length(title_processed) > 0 AND length(text_processed) > 0""",
     "tagged": """
         SELECT a.*, ticker FROM articles a JOIN tickers ON contains(a.text, ticker)""",
     "newest": f"""
@@ -303,6 +318,24 @@ QUERIES = {
         WHERE copy = 1""",
     # sentiment
     "sentiment_score": "SELECT source, title, sentiment_score, ticker FROM scored",
+    "sentiment_lexicon": f"""
+        SELECT source, title, {lexicon_score("concat_ws(' ', title_processed, text_processed)")}
+               AS sentiment_score, 'HDFC' AS ticker FROM processed""",
+    "article_pipeline": f"""
+        SELECT 'captured' AS source, title, 'HDFC' AS ticker,
+               {lexicon_score("concat_ws(' ', title_processed, text_processed)")} AS sentiment_score
+        FROM (SELECT DISTINCT title, text, title_processed, text_processed FROM clean_records)""",
+    "article_pipeline_by_ticker": f"""
+        SELECT 'captured' AS source, title, ticker,
+               {lexicon_score("concat_ws(' ', title_processed, text_processed)")} AS sentiment_score
+        FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY url, title, text) AS position
+              FROM (SELECT title, text, title_processed, text_processed, ticker, min(url) AS url
+                    FROM clean_records JOIN tickers ON contains(text, ticker) GROUP BY ALL))
+        WHERE position <= 5""",
+    "article_pipeline_pages": """
+        SELECT s.status, count(r.status) AS pages
+        FROM (VALUES ('ok'), ('no_content'), ('failed')) s(status) LEFT JOIN page_records r USING (status)
+        GROUP BY 1""",
     "sentiment_fallback": """
         SELECT source, title, CASE WHEN digest LIKE '00%' THEN 0.5::DOUBLE
                                    ELSE sentiment_score END AS sentiment_score, ticker

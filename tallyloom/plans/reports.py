@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,12 +94,45 @@ def ratings_bundle(
         {"ignoreNullFields": "false"}).alias("document"))
 
 
+@dataclass(frozen=True)
+class ArticleRun:
+    """What became of all captured pages: scored articles, pages to look at, and the number
+    of pages by status. Pages that are not scored are duplicates or empty after cleaning."""
+
+    scored: DataFrame
+    quarantined: DataFrame
+    pages: dict[str, int]
+
+
+def article_run(
+    feeds: dict[str, DataFrame], ingested_at: dt.datetime, scorer: Callable[[Column], Column],
+    ticker: str | Column | None = None,
+) -> ArticleRun:
+    """Captured pages per site, to scored articles: parse, unite, deduplicate, clean, drop
+    empty ones, score. Every page is parsed once, and none is lost without being counted."""
+    parsed = articles.written_pages(articles.union_articles(*[
+        articles.parse_pages(pages, site, ingested_at) for site, pages in feeds.items()]))
+    processed = articles.process_articles(articles.parsed_articles(parsed.pages))
+    return ArticleRun(sentiment.score_articles(processed, scorer, ticker or sentiment.DEFAULT_TICKER),
+                      articles.quarantined_pages(parsed.pages), parsed.counts)
+
+
 def article_sentiment(
-    feeds: dict[str, DataFrame], ingested_at: dt.datetime, ticker: str | Column | None = None
+    feeds: dict[str, DataFrame], ingested_at: dt.datetime, scorer: Callable[[Column], Column],
+    ticker: str | Column | None = None,
+) -> DataFrame:
+    """The scored articles of ``article_run``."""
+    return article_run(feeds, ingested_at, scorer, ticker).scored
+
+
+def ticker_sentiment(
+    feeds: dict[str, DataFrame], ingested_at: dt.datetime, scorer: Callable[[Column], Column],
+    tickers: Sequence[str] = articles.TICKERS, count: int = articles.ARTICLES_PER_TICKER,
 ) -> DataFrame:
-    """Captured pages per site, to scored articles: extract, unite, deduplicate, clean,
-    drop empty ones, score. The only shuffle is that of the deduplication."""
-    extracted = [articles.extract_articles(pages, site, ingested_at)
-                 for site, pages in feeds.items()]
-    processed = articles.process_articles(articles.union_articles(*extracted))
-    return sentiment.score_articles(processed, ticker=ticker or sentiment.DEFAULT_TICKER)
+    """The last articles of each ticker, scored: parse, tag, deduplicate within a ticker,
+    clean, drop empty ones, take the latest, score."""
+    parsed = articles.written_pages(articles.union_articles(*[
+        articles.parse_pages(pages, site, ingested_at) for site, pages in feeds.items()]))
+    tagged = articles.tag_tickers(articles.parsed_articles(parsed.pages), tickers)
+    latest = articles.latest_per_ticker(articles.process_articles(tagged, "ticker"), count)
+    return sentiment.score_articles(latest, scorer, F.col("ticker"))
