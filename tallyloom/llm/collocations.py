@@ -9,8 +9,8 @@ Words are counted first. Then, level by level, phrases of one more word are coun
 * **Counts.** Candidates are cut into tries of bounded size, each a double array over word
   numbers. A task looks up the words of a slice of text, then moves the states of all text
   positions at once, one word at a time, and adds up the accepting states. The counts of
-  all tasks are summed. Tries are broadcast in groups of at most GROUP_BYTES; if there are
-  more, the texts are read once per group.
+  all tasks are summed. Tries are broadcast in groups of at most ``group_bytes``; if there
+  are more, the texts are read once per group, so large corpora want a larger bound.
 
 Filters and sieves are bit sets of at most 2^MOST_BITS bits, and so bounded as well.
 Everything else stays distributed. Texts of any length are read in slices that overlap by
@@ -39,14 +39,14 @@ from tallyloom.llm.common import mixed, powers, text_batches
 from tallyloom.settings import written_table
 
 NO_LANG = "und"
-CHUNK_BYTES = 4 << 20
-HELD_ROWS = 500_000
+CHUNK_BYTES = 2 << 20
+HELD_ROWS = 250_000
 # A trie holds at most so many phrases and bytes of phrases; tries are broadcast in groups.
-TRIE_PHRASES = 1_000_000
-TRIE_BYTES = 24 << 20
-GROUP_BYTES = 64 << 20
+TRIE_PHRASES = 250_000
+TRIE_BYTES = 8 << 20
+GROUP_BYTES = 20 << 20
 # Bit sets: buckets per phrase expected, and bounds of their number.
-LEAST_BITS, MOST_BITS = 16, 27
+LEAST_BITS, MOST_BITS = 16, 25
 SLICE_BITS = 17
 MOST_COUNT = 15
 
@@ -359,28 +359,51 @@ def candidate_task(prior, sieve, size: int):
 
 @dataclass
 class Trie:
-    """A double array: from state s, word w leads to ``base[s] + w`` if ``check`` there is
-    s. State 0 is the root."""
+    """A double array: from state s, symbol c leads to ``base[s] + c`` if ``check`` there is
+    s. State 0 is the root. A word is two symbols, the upper and the lower half of its
+    number, so that the children of a state lie close together; frequent words have small
+    numbers, so that they lie closer still."""
 
     lang: str
     words: pa.Array
+    half: int
     base: np.ndarray
     check: np.ndarray
 
 
-def place_children(parents: np.ndarray, children: np.ndarray, words: int, base: np.ndarray,
+def half_bits(words: int) -> int:
+    """Bits of one of the two symbols of a word."""
+    return max((max(words - 1, 1).bit_length() + 1) // 2, 1)
+
+
+# Sets of children of at least this share of the symbols get room of their own.
+LARGE_SHARE = 4
+ROUNDS = 100
+
+
+def place_children(parents: np.ndarray, children: np.ndarray, symbols: int, base: np.ndarray,
                    check: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Finds a base for each parent so that its children fall on free states. ``parents``
-    is sorted and goes with ``children``. Parents with equally many children are tried
-    together, those with most first; where places clash, one of them wins the round."""
+    is sorted and goes with ``children``. Large sets are laid side by side behind all
+    others. Of smaller ones, parents with equally many children are tried together, those
+    with most first; where places clash, one of them wins the round."""
     heads = np.flatnonzero(np.diff(parents, prepend=-1))
     sizes = np.diff(np.append(heads, len(parents)))
     state = np.zeros(len(children), dtype=np.int64)
-    for size in np.unique(sizes)[::-1].tolist():
-        open_heads, tries = heads[sizes == size], 0
+    large = np.flatnonzero(sizes * LARGE_SHARE >= symbols)
+    if len(large):
+        begin = len(base)
+        base, check = grown(base, check, (len(large) + 1) * symbols)
+        base[parents[heads[large]]] = begin + np.arange(len(large)) * symbols
+        of_large = np.repeat(sizes * LARGE_SHARE >= symbols, sizes)
+        state[of_large] = base[parents[of_large]] + children[of_large]
+        check[state[of_large]] = parents[of_large]
+    small = sizes * LARGE_SHARE < symbols
+    for size in np.unique(sizes[small])[::-1].tolist():
+        open_heads, tries = heads[small & (sizes == size)], 0
         while len(open_heads):
             members = open_heads[:, None] + np.arange(size)
-            guess = rng.integers(1, len(base) - words + 1, len(open_heads))
+            guess = rng.integers(1, len(base) - symbols + 1, len(open_heads))
             target = guess[:, None] + children[members]
             fits = (check[target] == -1).all(axis=1)
             members, target, guess, rest = members[fits], target[fits], guess[fits], open_heads[~fits]
@@ -393,40 +416,50 @@ def place_children(parents: np.ndarray, children: np.ndarray, words: int, base:
             state[members[won]] = target[won]
             open_heads = np.concatenate((rest, members[~won][:, 0]))
             tries += 1
-            if tries % 24 == 0:  # crowded: more room
-                more = max(len(base) // 4, words)
-                base = np.concatenate((base, np.zeros(more, dtype=base.dtype)))
-                check = np.concatenate((check, np.full(more, -1, dtype=check.dtype)))
+            if tries % ROUNDS == 0:  # crowded: more room
+                base, check = grown(base, check, max(size * len(open_heads), len(base) // 32, symbols))
     return state, base, check
 
 
+def grown(base: np.ndarray, check: np.ndarray, more: int) -> tuple[np.ndarray, np.ndarray]:
+    return (np.concatenate((base, np.zeros(more, dtype=base.dtype))),
+            np.concatenate((check, np.full(more, -1, dtype=check.dtype))))
+
+
 def build_trie(lang: str, phrases: pa.Array) -> tuple[Trie, np.ndarray]:
     """A trie of different phrases of equally many words, and the state of each phrase."""
     split = pc.split_pattern(phrases, " ")
     encoded = split.flatten().cast(pa.binary()).dictionary_encode()
-    words = encoded.dictionary
-    codes = encoded.indices.to_numpy().astype(np.int64).reshape(len(phrases), -1)
-    order = np.lexsort(codes.T[::-1])
-    codes = codes[order]
-    room = len(words) + 2 + int(codes.shape[0] * codes.shape[1] * 0.9)
-    base, check = np.zeros(room, dtype=np.int32), np.full(room, -1, dtype=np.int32)
+    codes = encoded.indices.to_numpy()
+    by_number = np.argsort(-np.bincount(codes, minlength=len(encoded.dictionary)), kind="stable")
+    words = encoded.dictionary.take(pa.array(by_number))
+    number = np.empty(len(by_number), dtype=np.int64)
+    number[by_number] = np.arange(len(by_number))
+    half = half_bits(len(words))
+    numbers = number[codes].reshape(len(phrases), -1)
+    path = np.stack((numbers >> half, numbers & ((1 << half) - 1)), axis=2).reshape(len(phrases), -1)
+    order = np.lexsort(path.T[::-1])
+    path = path[order]
+    symbols = 1 << half
+    base, check = np.zeros(2 * symbols, dtype=np.int32), np.full(2 * symbols, -1, dtype=np.int32)
     check[0] = -2
     rng = np.random.default_rng(len(phrases))
-    state = np.zeros(len(codes), dtype=np.int64)
-    for level in range(codes.shape[1]):
-        new = np.ones(len(codes), dtype=bool)
-        if level + 1 < codes.shape[1]:
-            new[1:] = (np.diff(state) != 0) | (np.diff(codes[:, level]) != 0)
+    state = np.zeros(len(path), dtype=np.int64)
+    for level in range(path.shape[1]):
+        new = np.ones(len(path), dtype=bool)
+        new[1:] = (np.diff(state) != 0) | (np.diff(path[:, level]) != 0)
         by_parent = np.flatnonzero(new)
         by_parent = by_parent[np.argsort(state[by_parent], kind="stable")]
         placed, base, check = place_children(
-            state[by_parent], codes[by_parent, level], len(words), base, check, rng)
-        found = np.zeros(len(codes), dtype=np.int64)
+            state[by_parent], path[by_parent, level], symbols, base, check, rng)
+        found = np.zeros(len(path), dtype=np.int64)
         found[by_parent] = placed
         state = found[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    out = np.zeros(len(codes), dtype=np.int64)
+    # A lookup may go up to the largest symbol beyond the last base.
+    needed = max(int(np.flatnonzero(check != -1)[-1]) + 1, int(base.max()) + symbols)
+    out = np.zeros(len(path), dtype=np.int64)
     out[order] = state
-    return Trie(lang, words, base, check), out
+    return Trie(lang, words, half, base[:needed], check[:needed]), out
 
 
 BUILT = "lang string, phrase string, trie long, state long, n_states long, words binary, base binary, check binary"
@@ -481,7 +514,7 @@ def build_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def loaded(row) -> Trie:
     words = pa.ipc.open_stream(row["words"]).read_all().column("word").combine_chunks()
-    return Trie(row["lang"], words, np.frombuffer(row["base"], dtype=np.int32),
+    return Trie(row["lang"], words, half_bits(len(words)), np.frombuffer(row["base"], dtype=np.int32),
                 np.frombuffer(row["check"], dtype=np.int32))
 
 
@@ -491,16 +524,18 @@ def advance(trie: Trie, part: Slice, size: int) -> np.ndarray:
     number = pc.index_in(part.words, value_set=trie.words).fill_null(-1).to_numpy(zero_copy_only=False)
     word, linked = number[part.codes], part.linked()
     at = np.flatnonzero(word[:part.own] >= 0)
-    state = np.zeros(len(at), dtype=np.int64)
+    state = np.zeros(len(at), dtype=np.int32)
     for k in range(size):
         if k:
             on = linked[at + k - 1]
             at, state = at[on], state[on]
             on = word[at + k] >= 0
             at, state = at[on], state[on]
-        target = trie.base[state] + word[at + k]
-        on = trie.check[target] == state
-        at, state = at[on], target[on].astype(np.int64)
+        for upper in (True, False):
+            here = word[at + k]
+            target = trie.base[state] + (here >> trie.half if upper else here & ((1 << trie.half) - 1))
+            on = trie.check[target] == state
+            at, state = at[on], target[on]
     return state
 
 
@@ -541,7 +576,8 @@ def groups_of(sizes: list[tuple[int, int]], most: int) -> Iterator[list[int]]:
         yield group
 
 
-def counted_phrases(texts: DataFrame, candidates: DataFrame, size: int, least: int, label: str) -> DataFrame:
+def counted_phrases(texts: DataFrame, candidates: DataFrame, size: int, least: int, label: str,
+                    group_bytes: int) -> DataFrame:
     """Candidates (lang, phrase) that occur at least ``least`` times, with their number."""
     spark = texts.sparkSession
     built = written_table(candidates.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
@@ -551,10 +587,9 @@ def counted_phrases(texts: DataFrame, candidates: DataFrame, size: int, least: i
     sizes = [(row["trie"], row["weight"]) for row in  # one number per trie, that is per TRIE_PHRASES
              arrays.select("trie", weight.alias("weight")).orderBy("lang", "trie").collect()]
     counts = []
-    for group in groups_of(sizes, GROUP_BYTES):
-        rows = arrays.where(F.col("trie").isin(group)).select("trie", "lang", "words", "base", "check").collect()
-        tries = spark.sparkContext.broadcast([(row["trie"], row.asDict()) for row in rows])
-        del rows
+    for group in groups_of(sizes, group_bytes):
+        some = arrays.where(F.col("trie").isin(group)).select("trie", "lang", "words", "base", "check")
+        tries = spark.sparkContext.broadcast([(row["trie"], row.asDict()) for row in some.toLocalIterator()])
         visits = texts.mapInArrow(count_task(tries, size), STATES).groupBy("trie", "state").agg(F.sum("n").alias("n"))
         counts.append(written_table(visits.where(F.col("n") >= least), f"{label}_counts"))
         tries.destroy()
@@ -605,14 +640,15 @@ def covered(longer: DataFrame, most_words: int, share: int) -> DataFrame:
 
 
 def collocations(documents: DataFrame, min_count: int = 10, max_words: int = 3, share: int = 50,
-                 top: int = 2000) -> DataFrame:
+                 top: int = 2000, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Of ``documents`` (text, lang), per language the ``top`` phrases of two to
     ``max_words`` words: lang, rank, phrase, a, l, r, n, score.
 
     ``a``, ``l`` and ``r`` count the phrase and the two parts of its lowest-scoring cut, n
     all words of the language; the score is a^2 / (l r) in millionths. Phrases with fewer
     than ``min_count`` occurrences do not count; phrases that mostly (``share`` percent)
-    occur inside one longer phrase are left out.
+    occur inside one longer phrase are left out. The driver and each Python worker hold up
+    to ``group_bytes`` of tries at a time.
     """
     c = F.col
     spark: SparkSession = documents.sparkSession
@@ -629,7 +665,7 @@ def collocations(documents: DataFrame, min_count: int = 10, max_words: int = 3,
         candidates = written_table(
             texts.mapInArrow(candidate_task(prior, sieve, size), "lang string, phrase string").distinct(),
             f"candidates_{size}")
-        levels.append(counted_phrases(texts, candidates, size, min_count, f"phrases_{size}"))
+        levels.append(counted_phrases(texts, candidates, size, min_count, f"phrases_{size}", group_bytes))
         prior.destroy()
         sieve.destroy()
     phrases, parts = levels[1], levels[0]

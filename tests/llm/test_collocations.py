@@ -53,7 +53,7 @@ def small(request, monkeypatch):
     if request.param:
         monkeypatch.setattr(co, "CHUNK_BYTES", request.param)
         monkeypatch.setattr(co, "HELD_ROWS", 20)
-        monkeypatch.setattr(co, "GROUP_BYTES", 1)
+    return {"group_bytes": 1} if request.param else {}
 
 
 @pytest.mark.parametrize("least, most, share, top", [(10, 3, 50, 2000), (3, 4, 70, 15), (2, 2, 50, 5)])
@@ -61,7 +61,7 @@ def test_collocations_equal_brute_force(spark, small, least, most, share, top):
     rows = rows_of(least)
     table = spark.createDataFrame([(None, *r, 1, "p") for r in rows],
                                   "doc_id long, text string, lang string, n int, phrase string")
-    got = co.collocations(table.repartition(3), least, most, share, top)
+    got = co.collocations(table.repartition(3), least, most, share, top, **small)
     assert sorted(map(tuple, got.collect())) == brute(rows, least, most, share, top)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
