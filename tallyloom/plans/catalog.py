@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import hashlib
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from tallyloom import schemas
 from tallyloom.functions.scoring import NEUTRAL, lexicon_scorer
 from tallyloom.functions.text import clean_text, preview
 from tallyloom.operators import articles as art
-from tallyloom.operators import quality, ratings as rat, sentiment, similarity as sim
+from tallyloom.operators import keywords, quality, ratings as rat, sentiment, similarity as sim
 from tallyloom.plans.fixtures import INGESTED_AT, NEGATIVE, POSITIVE, RUN_AT, TICKERS, Tables, hash_score
 from tallyloom.plans import reports
 from tallyloom.settings import scratch_path, written_table
@@ -149,6 +151,22 @@ def rated_stats(t: Tables) -> DataFrame:
         F.col("item_id").alias("movie_id"), F.col("avg_rating").alias("rating"))
 
 
+def observed_runs(t: Tables) -> DataFrame:
+    """Two writes and a failure, read back from the table of runs, without their times."""
+    path, target = scratch_path(t.spark, "runs"), scratch_path(t.spark, "target")
+
+    def run(task_id: str, table: DataFrame, write) -> None:
+        quality.recorded_run(task_id, table, write, lambda row: results.append_run_metrics(row, path))
+
+    run("items", t.items(), lambda table: table.write.parquet(f"{target}/items"))
+    run("ratings", t.ratings(), lambda table: table.write.parquet(f"{target}/ratings"))
+    with contextlib.suppress(AnalysisException):
+        run("again", t.items(), lambda table: table.write.mode("error").parquet(f"{target}/items"))
+    runs = results.read_run_metrics(t.spark, path)
+    return runs.select("task_id", "status", "rows", (F.col("duration") > 0).alias("timed"),
+                       F.col("error").isNotNull().alias("explained"))
+
+
 def bundle(t: Tables) -> DataFrame:
     similar = {"metric": "cosine", "min_common": 2, "threshold": 0.5, "digits": 9}
     return reports.ratings_bundle(
@@ -229,6 +247,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         "url", "title_processed", "text_processed"),
     "article_dedup": lambda t: art.deduplicate(t.articles()),
     "article_process": lambda t: art.with_iso_dates(art.process_articles(t.articles())),
+    "ticker_tag_table": lambda t: keywords.tag_keywords(t.articles(), t.keywords()).select("url", "ticker"),
     "ticker_tag": lambda t: tagged(t).select("url", "ticker"),
     "latest_per_ticker": latest_per_ticker,
     "latest_per_ticker_5000": lambda t: latest_per_ticker(t, 5000),
@@ -258,7 +277,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_rules": lambda t: quality.rule_checks(t.ratings().select(
         F.col("item_id").alias("movie_id"), "rating")),
     "dq_rules_stats": lambda t: quality.rule_checks(rated_stats(t)),
+    "dq_rules_nan": lambda t: quality.rule_checks(t.ratings().select(
+        F.col("item_id").alias("movie_id"),
+        F.when(F.col("item_id") % 10 == 0, F.lit("NaN").cast("double")).otherwise(F.col("rating")).alias("rating"))),
+    "dq_profile_wide": lambda t: quality.table_profile(t.read("lineitem"), t.read("lineitem").columns),
     "dq_profile": lambda t: quality.table_profile(t.users(), ("user_id", "age")),
+    "run_metrics_store": observed_runs,
     "run_metrics": lambda t: quality.run_metrics(t.run_log()),
     "result_bundle": bundle,
 }

@@ -112,6 +112,11 @@ class Tables:
             F.substring("text", 1, 40).alias("title"), "text", published.alias("published"),
             F.concat(F.lit("https://example.org/"), key.cast("string")).alias("url"), "source")
 
+    def keywords(self) -> DataFrame:
+        """The third word of every document."""
+        third = F.try_element_at(F.split("text", " "), F.lit(3))
+        return self.read("documents").select(third.alias("ticker")).where(F.length(third) > 0)
+
     def pages(self) -> DataFrame:
         return self.read("pages")
 
@@ -169,6 +174,9 @@ VIEWS = {
         FROM documents""",
     "tickers": "SELECT * FROM (VALUES "
                + ", ".join(f"('{ticker}')" for ticker in TICKERS) + ") t(ticker)",
+    "keywords": """
+        SELECT DISTINCT string_split(text, ' ')[3] AS ticker FROM documents
+        WHERE length(string_split(text, ' ')[3]) > 0""",
     "pages_damaged": """
         SELECT page_id, url, CASE WHEN page_id % 7 = 0 THEN '<html></html>'
                                   WHEN page_id % 11 = 0 THEN NULL ELSE html END AS html

@@ -195,6 +195,19 @@ PAIR_COSINE = "sum(a.rating * b.rating) / (sqrt(sum(a.rating ^ 2)) * sqrt(sum(b.
 PAIR_PEARSON = "CASE WHEN isnan(corr(a.rating, b.rating)) THEN NULL ELSE corr(a.rating, b.rating) END"
 TOP_PAIRS = "ORDER BY round(score, 9) DESC, strength DESC, item_a, item_b LIMIT 50"
 
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def wide_profile() -> str:
+    return " UNION ALL ".join(f"""
+        SELECT '{name}' AS column_name, count(*) AS row_count, count(*) - count({name}) AS null_count,
+               count(DISTINCT {name}) + (count(*) > count({name}))::BIGINT AS distinct_count,
+               count(*) - count(DISTINCT {name}) - (count(*) > count({name}))::BIGINT AS duplicates
+        FROM lineitem""" for name in LINE_COLUMNS)
+
+
 GENRE_COLUMNS = "occupation, age_group, genre, avg_rating, rating_count, rank"
 
 QUERIES = {
@@ -301,6 +314,7 @@ QUERIES = {
         SELECT title, text, strftime(published, '%Y-%m-%dT%H:%M:%S') AS published, url, source,
                title_processed, text_processed, title AS title_original, text AS text_original
         FROM processed""",
+    "ticker_tag_table": "SELECT a.url, k.ticker FROM articles a JOIN keywords k ON contains(a.text, k.ticker)",
     "ticker_tag": "SELECT url, ticker FROM tagged",
     "latest_per_ticker": "SELECT * FROM newest WHERE position <= 5",
     "latest_per_ticker_5000": "SELECT * FROM newest WHERE position <= 5000",
@@ -381,6 +395,16 @@ QUERIES = {
         SELECT 'gender', count(*), count(*) - count(gender), NULL, NULL FROM users
         UNION ALL
         SELECT 'occupation', count(*), count(*) - count(occupation), NULL, NULL FROM users""",
+    "dq_rules_nan": """
+        SELECT false AS all_ok, count(*) FILTER (item_id % 10 = 0) = 0 AS null_check, true AS rating_range,
+               count(DISTINCT item_id) = count(*) AS unique_movies
+        FROM ratings""",
+    "dq_profile_wide": wide_profile(),
+    "run_metrics_store": """
+        SELECT * FROM (VALUES ('items', 'success', (SELECT count(*) FROM items), true, false),
+                              ('ratings', 'success', (SELECT count(*) FROM ratings), true, false),
+                              ('again', 'failed', NULL, true, true))
+                      r(task_id, status, rows, timed, explained)""",
     "run_metrics": """
         SELECT task_id, start_time, end_time,
                date_diff('microsecond', start_time, end_time) / 1e6 AS duration,

@@ -31,7 +31,7 @@ ARTICLE = layout(title=TEXT, text=TEXT, published=TEXT, url=TEXT, source=TEXT)
 STORED_SENTIMENT = layout(id=TEXT, source=TEXT, ticker=TEXT, title=TEXT,
                           sentiment_score=DOUBLE, created_at=TIMESTAMP)
 RUN_METRICS = layout(task_id=TEXT, start_time=TIMESTAMP, end_time=TIMESTAMP,
-                     duration=DOUBLE, status=TEXT, error=TEXT)
+                     duration=DOUBLE, status=TEXT, error=TEXT, rows=T.LongType())
 
 
 def genre_columns(items: DataFrame) -> list[str]:
