@@ -6,6 +6,7 @@ import contextlib
 import datetime as dt
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -167,6 +168,22 @@ def observed_runs(t: Tables) -> DataFrame:
                        F.col("error").isNotNull().alias("explained"))
 
 
+def written_reports(t: Tables) -> dict[str, DataFrame]:
+    """The four reports, each read back from its table."""
+    similar = {"metric": "cosine", "min_common": 2, "threshold": 0.5, "digits": 9}
+    path = scratch_path(t.spark, "reports")
+    tables = reports.report_tables(t.ratings(), t.items(), t.users(), "small ring", similar=similar)
+    reports.write_reports(tables, path)
+    return reports.read_reports(t.spark, path, tables)
+
+
+def report_sizes(t: Tables) -> DataFrame:
+    """How many rows each written report has."""
+    return reduce(DataFrame.unionByName, [
+        table.agg(F.count("*").alias("rows")).select(F.lit(name).alias("report"), "rows")
+        for name, table in written_reports(t).items()])
+
+
 def bundle(t: Tables) -> DataFrame:
     similar = {"metric": "cosine", "min_common": 2, "threshold": 0.5, "digits": 9}
     return reports.ratings_bundle(
@@ -285,6 +302,10 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "run_metrics_store": observed_runs,
     "run_metrics": lambda t: quality.run_metrics(t.run_log()),
     "result_bundle": bundle,
+    "result_bundle_written": lambda t: reports.bundle(written_reports(t), digits=9),
+    "report_tables": report_sizes,
+    "report_genre_analysis": lambda t: written_reports(t)["genre_analysis"],
+    "report_movie_similarity": lambda t: written_reports(t)["movie_similarity"],
 }
 
 

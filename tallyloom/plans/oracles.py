@@ -453,6 +453,15 @@ def oracle_sql() -> dict[str, str]:
     flags = [f"{word} AS {genre}" for word, genre in zip(ITEM_WORDS, schemas.GENRES)]
     flags += [f"CAST(p_type = '{kind}' AS INT) AS {genre}"
               for kind, genre in zip(("ECONOMY", "SMALL"), schemas.GENRES[len(ITEM_WORDS):])]
-    statements = QUERIES | {"result_bundle": bundle_sql()}
+    small_ring = similar_to("ratings", "items", "(SELECT min(movie_id) FROM items WHERE title = 'small ring')",
+                            COSINE, 2, 0.5)
+    statements = QUERIES | {
+        "result_bundle": bundle_sql(), "result_bundle_written": bundle_sql(),
+        "report_genre_analysis": QUERIES["genre_by_demographic"], "report_movie_similarity": small_ring,
+        "report_tables": f"""
+            SELECT 'top_movies' AS report, count(*) AS rows FROM top_items
+            UNION ALL SELECT 'genre_analysis', count(*) FROM ranked_genres WHERE rank = 1
+            UNION ALL SELECT 'occupation_age_analysis', count(DISTINCT coalesce(occupation, '')) FROM users
+            UNION ALL SELECT 'movie_similarity', count(*) FROM ({small_ring})"""}
     statements["scan_items"] = QUERIES["scan_items"].replace("{flags}", ", ".join(flags))
     return {name: with_views(sql) for name, sql in statements.items()}

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators import articles, ratings as reports, sentiment, similarity
@@ -53,17 +53,33 @@ def report_rows(report: DataFrame, order: list[Column], fields: list[Column]) ->
     return report.agg(F.transform(in_order, lambda entry: entry["row"]).alias("rows")).scalar()
 
 
-def ratings_bundle(
+def report_tables(
     ratings: DataFrame, items: DataFrame, users: DataFrame, title: str, *,
     min_ratings: int = 35, top_n: int = 20, similar: dict | None = None,
-    digits: int | None = None,
-) -> DataFrame:
-    """The four reports as one JSON document in one row.
+) -> dict[str, DataFrame]:
+    """The four reports by name. ``similar`` holds options of ``item_similarity``."""
+    # The names of the reports.
+    return {
+        "top_movies": reports.top_rated_items(ratings, items, min_ratings, top_n),
+        "genre_analysis": reports.genre_ranking(ratings, items, users),
+        "occupation_age_analysis": reports.mean_age_by_occupation(users),
+        "movie_similarity": similarity.item_similarity(ratings, items, title, **(similar or {})),
+    }
 
-    Only finished reports are gathered: their size depends on the numbers of top rows,
-    of occupations and of age groups, not on the number of ratings. ``similar`` holds
-    options of ``item_similarity``; ``digits`` rounds the means.
-    """
+
+def write_reports(tables: dict[str, DataFrame], path: str) -> None:
+    """Each report as a table of its own below ``path``; a rerun replaces it."""
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def read_reports(spark: SparkSession, path: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{path}/{name}") for name in names}
+
+
+def bundle(tables: dict[str, DataFrame], digits: int | None = None) -> DataFrame:
+    """Finished reports as one JSON document in one row, from ``report_tables`` or from
+    what ``read_reports`` gives back. ``digits`` rounds the means."""
     c = F.col
 
     def mean(name: str) -> Column:
@@ -72,28 +88,41 @@ def ratings_bundle(
     # The names of the reports and of their columns.
     document = {
         "top_movies": report_rows(
-            reports.top_rated_items(ratings, items, min_ratings, top_n),
+            tables["top_movies"],
             [-c("avg_rating"), -c("rating_count"), c("title")],
             [c("title"), mean("avg_rating"), c("rating_count")]),
         "genre_analysis": report_rows(
-            reports.genre_ranking(ratings, items, users),
+            tables["genre_analysis"],
             [c("occupation"), c("age_group"), c("rank")],
             [c("occupation"), c("age_group"), c("genre"), mean("avg_rating"),
              c("rating_count"), c("rank")]),
         "occupation_age_analysis": F.struct(report_rows(
-            reports.mean_age_by_occupation(users),
+            tables["occupation_age_analysis"],
             [c("occupation")], [c("occupation"), mean("mean_age")]).alias("occupation_stats")),
         "movie_similarity": report_rows(
-            similarity.item_similarity(ratings, items, title, **(similar or {})),
+            tables["movie_similarity"],
             [-c("score"), -c("strength"), c("title")],
             [c("title"), c("score"), c("strength")]),
     }
-    one_row = ratings.sparkSession.range(1)
+    one_row = tables["top_movies"].sparkSession.range(1)
     return one_row.select(F.to_json(
         F.struct(*[value.alias(name) for name, value in document.items()]),
         {"ignoreNullFields": "false"}).alias("document"))
 
 
+def ratings_bundle(
+    ratings: DataFrame, items: DataFrame, users: DataFrame, title: str, *,
+    digits: int | None = None, **options,
+) -> DataFrame:
+    """The four reports as one JSON document in one row; ``options`` are those of
+    ``report_tables``.
+
+    Only finished reports are gathered: their size depends on the numbers of top rows,
+    of occupations and of age groups, not on the number of ratings.
+    """
+    return bundle(report_tables(ratings, items, users, title, **options), digits)
+
+
 @dataclass(frozen=True)
 class ArticleRun:
     """What became of all captured pages: scored articles, pages to look at, and the number

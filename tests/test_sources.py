@@ -72,3 +72,20 @@ def test_bundle(spark, new_path):
     assert [row["title"] for row in document["movie_similarity"]] == ["b"]
     nothing = ratings_bundle(ratings, items, users, "a", min_ratings=99).first()["document"]
     assert json.loads(nothing)["top_movies"] == [] == json.loads(nothing)["movie_similarity"]
+
+
+def test_report_tables(spark, new_path):
+    from tallyloom.plans import reports
+
+    ratings = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(1, 41) for i in (1, 2)],
+                                    "user_id int, item_id int, rating double")
+    items = spark.createDataFrame([(1, "a", 1), (2, "b", 0)], "movie_id int, title string, War int")
+    users = spark.createDataFrame([(u, 20 + u, "x") for u in range(1, 41)], "user_id int, age int, occupation string")
+    tables = reports.report_tables(ratings, items, users, "a", similar={"threshold": -1.0, "min_common": 9})
+    for _ in range(2):
+        reports.write_reports(tables, new_path)
+    again = reports.read_reports(spark, new_path, tables)
+    assert values(again["top_movies"], "title") == ["a", "b"]
+    for name, table in tables.items():
+        assert again[name].dtypes == table.dtypes and sorted(again[name].collect()) == sorted(table.collect())
+    assert reports.bundle(again).first() == reports.bundle(tables).first()
