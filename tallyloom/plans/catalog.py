@@ -251,6 +251,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # articles
     "article_title": lambda t: captured(t).select("url", "title"),
     "article_extract": captured,
+    "article_sites": lambda t: art.parsed_articles(art.parse_pages(
+        t.pages_of_sites(), F.col("site"), INGESTED_AT)),
     "article_preview": lambda t: captured(t).select(
         "url", preview(F.col("title")).alias("title")),
     "article_quarantine": lambda t: art.quarantined_pages(

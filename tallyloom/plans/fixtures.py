@@ -16,6 +16,9 @@ ITEM_WORDS = (
     "large", "ring", "rod", "gizmo", "old", "cold", "anvil", "new",
 )
 TICKERS = ("the", "que", "der")
+DATE_MARKUP = (
+    '<time datetime="2024-01-02T03:04:05Z">today</time><meta property="article:published_time" content="2023-01-01">',
+    '<meta property="article:published_time" content="2024-01-05">', "<time>yesterday</time>", "")
 POSITIVE, NEGATIVE = ("the", "and", "que", "der", "la"), ("of", "to", "en", "die", "is")
 
 
@@ -127,6 +130,22 @@ class Tables:
                 .when(key % 11 != 0, F.col("html")))
         return self.pages().withColumn("html", html)
 
+    def pages_of_sites(self) -> DataFrame:
+        """The pages in the layouts of three sites, with dates in four ways. A first title
+        without the site's class is a decoy, as is the date in running text."""
+        key, html = F.col("page_id"), F.col("html")
+        site = F.element_at(F.array(F.lit("yourstory"), F.lit("finshots"), F.lit("other")), (key % 3 + 1).cast("int"))
+        title, body = (F.concat(F.when(key % 3 == 0, "article").otherwise("post"), F.lit(name))
+                       for name in ("-title", "-content"))
+        turned = F.replace(html, F.lit("<h1>"), F.concat(F.lit('<h1 class="wide '), title, F.lit('">')))
+        turned = F.replace(turned, F.lit("<article>"), F.concat(F.lit('<div class="'), body, F.lit('">')))
+        turned = F.replace(turned, F.lit("</article>"), F.lit("</div>"))
+        decoy = F.when(html.contains("<h1>"), "<h1>Not this</h1><p>2024-09-09</p>").otherwise("")
+        dates = F.element_at(F.array(*map(F.lit, DATE_MARKUP)), (key % 4 + 1).cast("int"))
+        return self.pages().select(
+            "url", site.alias("site"),
+            F.concat(dates, F.when(key % 3 == 2, html).otherwise(F.concat(decoy, turned))).alias("html"))
+
     def run_log(self) -> DataFrame:
         """One run per user."""
         return self.read("events").groupBy("user_id").agg(

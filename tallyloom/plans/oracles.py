@@ -287,6 +287,12 @@ QUERIES = {
     # articles
     "article_title": f"SELECT url, {page_title('html')} AS title FROM pages",
     "article_preview": "SELECT url, substr(title, 1, 50) AS title FROM page_articles",
+    "article_sites": """
+        SELECT a.title, a.text, a.url,
+               CASE page_id % 3 WHEN 0 THEN 'yourstory' WHEN 1 THEN 'finshots' ELSE 'other' END AS source,
+               CASE page_id % 4 WHEN 0 THEN '2024-01-02T03:04:05+00:00' WHEN 1 THEN '2024-01-05T00:00:00'
+                                ELSE a.published END AS published
+        FROM pages p JOIN page_articles a ON a.url = p.url""",
     "article_extract": "SELECT * FROM page_articles",
     "article_quarantine": """
         SELECT url, 'captured' AS source,
