@@ -40,13 +40,13 @@ from tallyloom.settings import written_table
 
 NO_LANG = "und"
 CHUNK_BYTES = 2 << 20
-HELD_ROWS = 250_000
+HELD_ROWS = 400_000
 # A trie holds at most so many phrases and bytes of phrases; tries are broadcast in groups.
 TRIE_PHRASES = 250_000
 TRIE_BYTES = 8 << 20
 GROUP_BYTES = 20 << 20
 # Bit sets: buckets per phrase expected, and bounds of their number.
-LEAST_BITS, MOST_BITS = 16, 25
+LEAST_BITS, MOST_BITS = 16, 26
 SLICE_BITS = 17
 MOST_COUNT = 15
 
@@ -144,18 +144,21 @@ class Gathered:
         self.parts: list[pa.Table] = []
         self.rows, self.least = 0, HELD_ROWS
 
-    def add(self, lang: str, phrases: pa.Array, counts: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    def add(self, lang: str, phrases: pa.Array, counts: np.ndarray | None = None) -> None:
         columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(phrases), dtype=np.int64))),
                    phrases.view(pa.string())]
         columns += [] if counts is None else [pa.array(counts, pa.int64())]
         self.parts.append(pa.table(columns, names=self.columns))
         self.rows += len(phrases)
-        if self.rows > self.least:
-            self.merge()
-            if self.rows > HELD_ROWS:
-                yield from self.flush()
-            # Merging again pays only once as much has come in as was left.
-            self.least = self.rows + HELD_ROWS
+
+    def full(self) -> bool:
+        """Whether too many rows are held even when added up. Adding up again pays only
+        once as much has come in as was left."""
+        if self.rows <= self.least:
+            return False
+        self.merge()
+        self.least = self.rows + HELD_ROWS
+        return self.rows > HELD_ROWS
 
     def merge(self) -> None:
         sums = [("n", "sum")] if "n" in self.columns else []
@@ -163,11 +166,11 @@ class Gathered:
         self.parts = [table.rename_columns({"n_sum": "n"} if sums else {}).select(self.columns)]
         self.rows = table.num_rows
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
+    def flush(self, most: int = 50_000) -> Iterator[pa.RecordBatch]:
         if self.parts:
             self.merge()
-            yield from self.parts[0].combine_chunks().to_batches(max_chunksize=50_000)
-        self.parts, self.rows = [], 0
+            yield from self.parts[0].combine_chunks().to_batches(max_chunksize=most)
+        self.parts, self.rows, self.least = [], 0, HELD_ROWS
 
 
 def word_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +178,9 @@ def word_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = Gathered(with_counts=True)
     for part in slices(batches, 0):
         counts = np.bincount(part.codes[:part.own], minlength=len(part.words))
-        yield from held.add(part.lang, part.words, counts)
+        held.add(part.lang, part.words, counts)
+        if held.full():
+            yield from held.flush()
     yield from held.flush()
 
 
@@ -334,8 +339,26 @@ def sieve_source(prior, size: int) -> HashSource:
     return source
 
 
-def candidate_task(prior, sieve, size: int):
-    """Different phrases of ``size`` words that pass the filter and the sieve."""
+PACKED = "lang string, part int, phrases array<string>"
+
+
+def candidate_task(prior, sieve, size: int, parts: int):
+    """Different phrases of ``size`` words that pass the filter and the sieve, in packs: a
+    row holds all a task has for one language and one part of the phrases by hash."""
+
+    def packs(held: Gathered) -> Iterator[pa.RecordBatch]:
+        for table in held.flush(2 * HELD_ROWS):
+            phrases, langs = table.column(1), table.column(0)
+            part = (phrase_hashes(phrases, langs) % np.uint64(parts)).astype(np.int64)
+            number = pc.index_in(langs, value_set=langs.unique()).to_numpy()
+            order = np.argsort(number * np.int64(parts) + part, kind="stable")
+            key = (number * np.int64(parts) + part)[order]
+            heads = np.flatnonzero(np.diff(key, prepend=-1))
+            ends = np.append(heads, len(key)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [langs.take(pa.array(order[heads])), pa.array(part[order[heads]], pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(ends), phrases.take(pa.array(order)))],
+                names=["lang", "part", "phrases"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Gathered(with_counts=False)
@@ -349,12 +372,48 @@ def candidate_task(prior, sieve, size: int):
                 key = np.unique(key, return_inverse=True)[1] * np.int64(len(part.words)) + part.codes[at + k]
             first = at[np.unique(key, return_index=True)[1]]
             words = [part.words.take(pa.array(part.codes[first + k])) for k in range(size)]
-            yield from held.add(part.lang, pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())))
-        yield from held.flush()
+            held.add(part.lang, pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())))
+            if held.full():
+                yield from packs(held)
+        yield from packs(held)
 
     return run
 
 
+def unpack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different phrases of packs sorted by language and part."""
+    key, held = None, []
+
+    def merged() -> Iterator[pa.RecordBatch]:
+        phrases = pc.unique(pa.concat_arrays(held))
+        for begin in range(0, len(phrases), 50_000):
+            some = phrases[begin:begin + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(some), pa.string()), some],
+                                             names=["lang", "phrase"])
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            new = (batch.column(0)[row].as_py(), batch.column(1)[row].as_py())
+            if held and new != key:
+                yield from merged()
+                held = []
+            key = new
+            held.append(batch.column(2)[row].values)
+            if len(held) > 64:  # copies go as they come
+                held = [pc.unique(pa.concat_arrays(held))]
+    if held:
+        yield from merged()
+
+
+def candidates_of(texts: DataFrame, prior, sieve, size: int, positions: int) -> DataFrame:
+    """Candidates (lang, phrase) of ``size`` words. Parts are many enough to hold a few
+    hundred thousand phrases at most."""
+    parts = max(positions // 2_000_000, 64)
+    packed = texts.mapInArrow(candidate_task(prior, sieve, size, parts), PACKED)
+    return (packed.repartition("lang", "part").sortWithinPartitions("lang", "part")
+            .mapInArrow(unpack_task, "lang string, phrase string"))
+
+
 # --- tries -------------------------------------------------------------------------
 
 @dataclass
@@ -662,9 +721,7 @@ def collocations(documents: DataFrame, min_count: int = 10, max_words: int = 3,
         prior = spark.sparkContext.broadcast(frequent_set(levels[-1]))
         bits = bits_for(positions // 4)
         sieve = spark.sparkContext.broadcast(bit_set(texts, sieve_source(prior, size), bits, min_count))
-        candidates = written_table(
-            texts.mapInArrow(candidate_task(prior, sieve, size), "lang string, phrase string").distinct(),
-            f"candidates_{size}")
+        candidates = written_table(candidates_of(texts, prior, sieve, size, positions), f"candidates_{size}")
         levels.append(counted_phrases(texts, candidates, size, min_count, f"phrases_{size}", group_bytes))
         prior.destroy()
         sieve.destroy()
