@@ -43,7 +43,8 @@ BAND_SLOTS = 4
 BANDS = SLOTS // BAND_SLOTS
 SIMILAR, OF = 75, 100  # linked: OF * intersection >= SIMILAR * union
 CHUNK_BYTES = 1 << 20
-BLOCK_SHINGLES = 500_000
+BLOCK_SHINGLES = 300_000
+POSTINGS_AT_ONCE = 1 << 17
 ELEMENTS_AT_ONCE = 1 << 15
 
 WORD_BASE, WORD_INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
@@ -197,6 +198,20 @@ class UnionFind:
         return x != y
 
 
+def common_shingles(mine: np.ndarray, begin: np.ndarray, posting: np.ndarray, count: int) -> np.ndarray:
+    """How many of some shingles each set has, over a part of their postings at a time."""
+    common = np.zeros(count, dtype=np.int64)
+    total = int((begin[mine + 1] - begin[mine]).sum(dtype=np.int64))
+    step = max(len(mine) * POSTINGS_AT_ONCE // max(total, 1), 1)
+    for part in range(0, len(mine), step):
+        some = mine[part:part + step]
+        lengths = begin[some + 1] - begin[some]
+        ends = np.cumsum(lengths)
+        at = np.repeat(begin[some] - (ends - lengths), lengths) + np.arange(ends[-1])
+        common += np.bincount(posting[at], minlength=count)
+    return common
+
+
 def spanning_links(sets: list[np.ndarray], side: np.ndarray, crossing: bool) -> list[tuple[int, int]]:
     """A spanning forest of the links between some sets; with ``crossing`` only links between
     sets of side 0 and side 1 count.
@@ -209,14 +224,14 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray, crossing: bool) ->
     count = len(sets)
     sizes = np.array([len(found) for found in sets], dtype=np.int64)
     _, dims, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(count), sizes)
     shared = seen[dims] > 1  # what one set has alone is in no intersection
-    owner, dims = owner[shared], dims[shared]
+    owner = np.repeat(np.arange(count, dtype=np.int32), sizes)[shared]
+    dims = dims[shared].astype(np.int32)
     first = np.searchsorted(owner, np.arange(count + 1))
-    order = np.argsort(dims, kind="stable")
-    posting = owner[order]
-    begin = np.zeros(len(seen) + 1, dtype=np.int64)
+    posting = owner[np.argsort(dims, kind="stable")]
+    begin = np.zeros(len(seen) + 1, dtype=np.int32)
     np.cumsum(np.bincount(dims, minlength=len(seen)), out=begin[1:])
+    del owner, shared, seen
     root = np.arange(count)
     members = np.ones(count, dtype=np.int64)
     largest, links = 0, []
@@ -227,10 +242,7 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray, crossing: bool) ->
             if root[k] == root[largest] and members[root[k]] > 1:
                 continue
             taken[k] = True
-            mine = dims[first[k]:first[k + 1]]
-            lengths = begin[mine + 1] - begin[mine]
-            at = np.repeat(begin[mine] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-            common = np.bincount(posting[at], minlength=count)
+            common = common_shingles(dims[first[k]:first[k + 1]], begin, posting, count)
             near = OF * common >= SIMILAR * (sizes + sizes[k] - common)
             near &= root != root[k]
             if crossing:
