@@ -58,8 +58,11 @@ HEAD = 16  # longer than any of these
 
 NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|::)[A-Za-z_$][\w$]*|\[[\"'][^\"'\]\n]+[\"']\]|-[A-Za-z_][\w$]*)*"
 STRING = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
-TARGET = re.compile(rf"(?:(?P<quoted>[\"'])(?P<key>[^\"'\n]+)(?P=quoted)|(?<![\w$])[^\W_A-Za-z]*(?P<name>{NAME}))"
-                    rf"[ \t]*(?:(?P<op>:=|=>|=(?![=~])|:(?!:|//)))[ \t]*")
+ASSIGNS = r"(?::=|=>|=(?![=~])|:(?!:|//))"
+# A name is taken whole, and with or without an assignment: a search that goes on behind it
+# instead of inside it takes linear time.
+TARGET = re.compile(rf"(?P<quoted>[\"'])(?P<key>[^\"'\n]+)(?P=quoted)[ \t]*{ASSIGNS}[ \t]*"
+                    rf"|(?<![\w$])[^\W_A-Za-z]*(?P<name>(?>{NAME}))(?P<op>[ \t]*{ASSIGNS}[ \t]*)?")
 PART = re.compile(rf"(?P<string>{STRING})|(?P<ref>{NAME})(?![\w(\"'])|(?P<bare>[^\s\"'`,;(){{}}\[\]#]+)")
 BARE = re.compile(r"[^\s\"'`,;(){}\[\]#]+")
 REF = re.compile(NAME)
@@ -164,12 +167,26 @@ def parts_at(text: str, at: int, known: Container[str]) -> tuple[list[tuple[str,
     return whole, end
 
 
+def next_target(text: str, at: int) -> re.Match | None:
+    """The next name or quoted key that something is assigned to."""
+    while (found := TARGET.search(text, at)) is not None and found["name"] and not found["op"]:
+        at = found.end()
+    return found
+
+
+def targets(text: str) -> Iterator[re.Match]:
+    at = 0
+    while (found := next_target(text, at)) is not None:
+        yield found
+        at = found.end()
+
+
 def inside(text: str, start: int, end: int) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
     """Assignments inside an unquoted token: of each piece up to ``&`` the most telling name,
     with all that follows the first telling one."""
     for piece in re.finditer("[^&]+", text[start:end]):
         best, at = (0.0, ""), None
-        for target in TARGET.finditer(piece[0]):
+        for target in targets(piece[0]):
             name = target["name"] or target["key"]
             if weight := name_score(name):
                 best = max(best, (weight, name))
@@ -183,7 +200,7 @@ def assignments(text: str, known: Container[str]) -> Iterator[tuple[str, list[tu
     """(name, parts) of what looks like an assignment; a part is (kind, content, start, end),
     a literal or a reference to a name. ``known`` are the names assigned so far."""
     at = 0
-    while (target := TARGET.search(text, at)) is not None:
+    while (target := next_target(text, at)) is not None:
         at = target.end()
         parts, tokens = [], []
         while True:
