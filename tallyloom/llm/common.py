@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 MASK = (1 << 64) - 1
@@ -43,10 +43,6 @@ def powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def binary_list(values: list[bytes | None]) -> pa.Array:
-    return pa.array(values, type=pa.binary())
-
-
 def text_batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches that hold at most ``limit`` bytes, or a single row."""
     for batch in batches:
@@ -66,16 +62,6 @@ def text_batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.R
             yield batch.slice(begin)
 
 
-def with_batch_rows(spark: SparkSession, rows: int = 500) -> None:
-    """Bound the rows of an Arrow batch: texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
-def named_columns(table: DataFrame, *names: str) -> DataFrame:
-    """Only the columns an operator reads, so that others never clash with its own."""
-    return table.select(*names)
-
-
 def tokenizer_path() -> str:
     """The installed vocabulary file the registered queries use."""
     import public_tokenizers
