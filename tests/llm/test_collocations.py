@@ -48,20 +48,16 @@ def rows_of(seed, count=160):
     return [*rows, ("new york city " * 40, "en"), ("only once here", "xx"), ("", "empty"), ("a b " * 30, "ab")]
 
 
-@pytest.fixture(params=[None, 9])
-def small(request, monkeypatch):
-    if request.param:
-        monkeypatch.setattr(co, "CHUNK_BYTES", request.param)
+@pytest.mark.parametrize("least, most, share, top, small", [
+    (10, 3, 50, 2000, False), (3, 4, 70, 15, True), (2, 2, 50, 5, False)])
+def test_collocations_equal_brute_force(spark, monkeypatch, least, most, share, top, small):
+    if small:  # slices of few bytes, few rows held, a pass per trie
+        monkeypatch.setattr(co, "CHUNK_BYTES", 9)
         monkeypatch.setattr(co, "HELD_ROWS", 20)
-    return {"group_bytes": 1} if request.param else {}
-
-
-@pytest.mark.parametrize("least, most, share, top", [(10, 3, 50, 2000), (3, 4, 70, 15), (2, 2, 50, 5)])
-def test_collocations_equal_brute_force(spark, small, least, most, share, top):
     rows = rows_of(least)
     table = spark.createDataFrame([(None, *r, 1, "p") for r in rows],
                                   "doc_id long, text string, lang string, n int, phrase string")
-    got = co.collocations(table.repartition(3), least, most, share, top, **small)
+    got = co.collocations(table.repartition(3), least, most, share, top, **({"group_bytes": 1} if small else {}))
     assert sorted(map(tuple, got.collect())) == brute(rows, least, most, share, top)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -426,3 +427,23 @@ def test_empty_tables(spark, name):
         "quality": lambda: rule_ensemble.score_quality(docs, docs),
     }
     assert run[name]().count() == 0
+
+
+@pytest.mark.parametrize("text", ["a-" * 500_000, "a." * 500_000, "a::b->" * 200_000, "a[\"k\"]" * 150_000,
+                                  "password" * 100_000, "token " * 150_000, "= " * 400_000])
+def test_long_names_take_linear_time(text):
+    begin = time.perf_counter()
+    secret_scan.secret_spans(text)
+    assert time.perf_counter() - begin < 10
+
+
+def test_a_long_name_keeps_its_value():
+    text = "my." * 50_000 + "signing_key = 'abcd1234EFGH5678'"
+    assert secret_scan.secret_spans(text)[1] == [("literal", text.index("'") + 1, len(text) - 1)]
+
+
+@pytest.mark.parametrize("page", ["a <!-- " * 100_000, "<p>" * 50_000, "<b>x" * 50_000])
+def test_pages_without_ends_take_linear_time(page):
+    begin = time.perf_counter()
+    html_render.rendered(page)
+    assert time.perf_counter() - begin < 10
