@@ -13,6 +13,7 @@ from tallyloom.settings import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SURE = 0.5
+BATCH_ROWS = 1000
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +25,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
+    """Of each group of near duplicates the document with the smallest id. Whole texts go
+    through Python here, so batches are kept small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     found = minhash_dedup.near_duplicates(docs).where(~F.col("kept")).select(
         F.col("doc_id").alias("gone"))
     return docs.join(found, docs["doc_id"] == found["gone"], "left_anti")
