@@ -29,8 +29,7 @@ def ratings_with_hot_ones(seed, users=150, items=50):
     return list({(u, i): (u, i, r) for u, i, r in rows}.values())
 
 
-@pytest.mark.parametrize("min_common", [0, 1, 4, 50])
-@pytest.mark.parametrize("busy_degree", [7, 5000])
+@pytest.mark.parametrize("min_common, busy_degree", [(0, 7), (1, 5000), (4, 7), (50, 5000)])
 def test_plans_agree_with_brute_force(spark, min_common, busy_degree):
     rows = ratings_with_hot_ones(min_common)
     ratings = spark.createDataFrame(rows, RATINGS)
