@@ -44,6 +44,11 @@ def in_range(score: Column) -> Column:
 
 
 METRICS = {"pearson": pearson, "cosine": cosine}
+# The sums that each of them reads.
+SUMS_OF = {
+    "pearson": ("n", "x", "y", "xx", "yy", "xy", "min_x", "max_x", "min_y", "max_y"),
+    "cosine": ("n", "xx", "yy", "xy"),
+}
 
 
 def metric(name: str):

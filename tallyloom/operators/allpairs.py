@@ -1,18 +1,18 @@
 """Sums over the users who rated both items of a pair, for all pairs at once.
 
-Two plans give the same sums.
-
-* ``pairs`` lists the pairs of items of every user and groups them. Its work is the sum of
-  the squared list lengths.
-* ``prefix`` asks first which pairs can reach ``common`` users at all. Take all users in
-  one order, those with few ratings first. If two items share ``common`` users, then at
-  least one of these is not among the ``common - 1`` last raters of either item. So lists
-  are made of all ratings but the ``common - 1`` busiest raters of each item; pairs that
-  meet in none of these lists are out. The sums of the others are taken from their full
-  ratings, starting from the item with fewer of them.
-
-In both, the list of a busy user is cut into blocks on both sides: each pair of blocks
-``p <= q`` is a unit of its own, and no unit has more than ``busy_degree`` squared pairs.
+Two plans give the same sums. They differ in the ratings that are not ``listed``, which never
+make a pair of items a candidate and are only added to candidates (``tiles``).
+
+* ``pairs`` lists all users but the ``common - 1`` busiest ones above ``busy_degree``.
+* ``prefix`` asks which pairs can reach ``common`` users at all. Take all users in one order,
+  those with few ratings first. If two items share ``common`` users, then at least one of
+  these is not among the ``common - 1`` last raters of either item. So all ratings are listed
+  but the ``common - 1`` busiest raters of each item; pairs that meet in none of these lists
+  are out.
+
+In both, the lists are cut into blocks on both sides by groups of items, and each pair of
+groups is a tile of its own. ``listed_pairs`` and ``candidate_pairs`` give single pairs as
+rows: their results grow with the pairs, so the sums do not use them.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.correlation import PairSums
+from tallyloom.operators.tiles import ALL_SUMS, summed
 from tallyloom.settings import written_table
 
 PLANS = ("auto", "pairs", "prefix")
@@ -37,16 +38,6 @@ def pair_sums() -> PairSums:
         x_varies=c("max_x") > c("min_x"), y_varies=c("max_y") > c("min_y"))
 
 
-def list_sums() -> list[Column]:
-    x, y = F.col("x"), F.col("y")
-    return [
-        F.count("*").alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"),
-        F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"), F.sum(x * y).alias("xy"),
-        F.min(x).alias("min_x"), F.max(x).alias("max_x"),
-        F.min(y).alias("min_y"), F.max(y).alias("max_y"),
-    ]
-
-
 def count_pairs(lists: DataFrame) -> int:
     """How many pairs the lists of all users hold together."""
     degree = F.count("*")
@@ -97,82 +88,49 @@ def listed_pairs(lists: DataFrame, busy_degree: int) -> DataFrame:
 
 # --- the plan without a filter -----------------------------------------------------
 
-def sums_of_lists(rated: DataFrame, common: int, busy_degree: int) -> DataFrame:
-    """Sums of all pairs that may reach ``common`` users.
-
-    The busiest ``common - 1`` users (of those above ``busy_degree``) never have their
-    pairs listed: together they fall short of ``common``, so each result pair is also
-    listed by some other user. They are added to those pairs afterwards, from one small map
-    per item.
-    """
+def marked_by_user(rated: DataFrame, common: int, busy_degree: int) -> DataFrame:
+    """The ratings, ``listed`` but for those of the busiest ``common - 1`` users (of those
+    above ``busy_degree``): together they fall short of ``common``, so each result pair is
+    also listed by some other user."""
     busiest = written_table(
         rated.groupBy("user_id").agg(F.count("*").alias("degree"))
         .where(F.col("degree") > busy_degree)
-        .orderBy(F.desc("degree"), "user_id").limit(common - 1).select("user_id"), "busiest")
-    listed = rated.join(busiest, "user_id", "left_anti")
-    # The sums are taken in the stage of the join: pairs are never written or shuffled
-    # one by one.
-    pairs = listed_pairs(listed, busy_degree).groupBy("item_a", "item_b").agg(*list_sums())
-    maps = (rated.join(busiest, "user_id", "left_semi").groupBy("item_id")
-            .agg(F.map_from_entries(F.collect_list(F.struct("user_id", "rating"))).alias("by_busiest")))
-    # A pair that misses ``common`` by more than the number of busiest users is out.
-    candidates = pairs.where(F.col("n") + busiest.agg(F.count("*")).scalar() >= common)
-    return add_busiest(candidates, maps)
-
-
-def add_busiest(pairs: DataFrame, maps: DataFrame) -> DataFrame:
-    """Add what the busiest users contribute to each pair. A map has one entry per
-    busiest user, so it holds fewer than ``common`` of them."""
-    of_a = maps.select(F.col("item_id").alias("item_a"), F.col("by_busiest").alias("map_a"))
-    of_b = maps.select(F.col("item_id").alias("item_b"), F.col("by_busiest").alias("map_b"))
-    both = F.array_intersect(F.map_keys("map_a"), F.map_keys("map_b"))
-    xs = F.transform("common", lambda user: F.element_at("map_a", user))
-    ys = F.transform("common", lambda user: F.element_at("map_b", user))
-
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
-
-    def products(one: str, two: str) -> Column:
-        return F.zip_with(one, two, lambda a, b: a * b)
-
-    added = (
-        pairs.join(of_a, "item_a", "left").join(of_b, "item_b", "left")
-        .withColumn("common", F.coalesce(both, F.array()))
-        .withColumns({"xs": xs, "ys": ys})
-    )
-    c = F.col
-    return added.select(
-        "item_a", "item_b",
-        (c("n") + F.size("common")).alias("n"),
-        (c("x") + total(c("xs"))).alias("x"),
-        (c("y") + total(c("ys"))).alias("y"),
-        (c("xx") + total(products("xs", "xs"))).alias("xx"),
-        (c("yy") + total(products("ys", "ys"))).alias("yy"),
-        (c("xy") + total(products("xs", "ys"))).alias("xy"),
-        F.least("min_x", F.array_min("xs")).alias("min_x"),
-        F.greatest("max_x", F.array_max("xs")).alias("max_x"),
-        F.least("min_y", F.array_min("ys")).alias("min_y"),
-        F.greatest("max_y", F.array_max("ys")).alias("max_y"),
-    )
+        .orderBy(F.desc("degree"), "user_id").limit(common - 1).select("user_id", F.lit(True).alias("of_busiest")),
+        "busiest")
+    return rated.join(busiest, "user_id", "left").select(
+        "user_id", "item_id", "rating", F.col("of_busiest").isNull().alias("listed"))
 
 
 # --- the plan with the prefix filter -----------------------------------------------
 
-def prefix_lists(rated: DataFrame, common: int) -> DataFrame:
-    """The ratings without the ``common - 1`` busiest raters of each item. An item with
-    fewer raters than ``common`` keeps none.
+def busiest_raters(rated: DataFrame, common: int) -> DataFrame:
+    """(item_id, user_id) of the ``common - 1`` busiest raters of each item.
 
     Tasks pass on at most ``common - 1`` rows per item to find those, so an item that holds
-    a third of all ratings is no burden; the others are told by (item, user).
+    a third of all ratings is no burden.
     """
-    if common == 1:
-        return rated
     degrees = written_table(rated.groupBy("user_id").agg(F.count("*").alias("degree")), "degrees")
     last = Window.partitionBy("item_id").orderBy(F.desc("degree"), F.desc("user_id"))
-    busiest = (rated.select("item_id", "user_id").join(degrees, "user_id")
-               .withColumn("place", F.row_number().over(last)).where(F.col("place") < common)
-               .select("item_id", "user_id"))
-    return rated.join(busiest, ["item_id", "user_id"], "left_anti")
+    return (rated.select("item_id", "user_id").join(degrees, "user_id")
+            .withColumn("place", F.row_number().over(last)).where(F.col("place") < common)
+            .select("item_id", "user_id"))
+
+
+def prefix_lists(rated: DataFrame, common: int) -> DataFrame:
+    """The ratings without the ``common - 1`` busiest raters of each item. An item with
+    fewer raters than ``common`` keeps none."""
+    if common == 1:
+        return rated
+    return rated.join(busiest_raters(rated, common), ["item_id", "user_id"], "left_anti")
+
+
+def marked_by_prefix(rated: DataFrame, common: int) -> DataFrame:
+    """The ratings, ``listed`` if they are in the prefix of their item."""
+    if common == 1:
+        return rated.select("user_id", "item_id", "rating", F.lit(True).alias("listed"))
+    busiest = busiest_raters(rated, common).withColumn("of_busiest", F.lit(True))
+    return rated.join(busiest, ["item_id", "user_id"], "left").select(
+        "user_id", "item_id", "rating", F.col("of_busiest").isNull().alias("listed"))
 
 
 def candidate_pairs(rated: DataFrame, common: int, busy_degree: int) -> DataFrame:
@@ -181,27 +139,6 @@ def candidate_pairs(rated: DataFrame, common: int, busy_degree: int) -> DataFram
     return listed_pairs(prefix_lists(rated, common), busy_degree).select("item_a", "item_b").distinct()
 
 
-def sums_of_candidates(candidates: DataFrame, rated: DataFrame, raters: DataFrame) -> DataFrame:
-    """Sums of the given pairs. Each pair is followed from the item with fewer raters, so
-    an item that most users rated is looked up, not gone through, by its partners."""
-    c = F.col
-    of_a = raters.select(c("item_id").alias("item_a"), c("raters").alias("raters_a"))
-    of_b = raters.select(c("item_id").alias("item_b"), c("raters").alias("raters_b"))
-    a_first = c("raters_a") <= c("raters_b")
-    turned = candidates.join(of_a, "item_a").join(of_b, "item_b").select(
-        "item_a", "item_b", a_first.alias("a_first"),
-        F.when(a_first, c("item_a")).otherwise(c("item_b")).alias("few"),
-        F.when(a_first, c("item_b")).otherwise(c("item_a")).alias("many"))
-    few = rated.select(c("item_id").alias("few"), "user_id", c("rating").alias("of_few"))
-    many = rated.select(c("item_id").alias("many"), "user_id", c("rating").alias("of_many"))
-    met = turned.join(few, "few").join(many, ["many", "user_id"])
-    return met.select(
-        "item_a", "item_b",
-        F.when(c("a_first"), c("of_few")).otherwise(c("of_many")).alias("x"),
-        F.when(c("a_first"), c("of_many")).otherwise(c("of_few")).alias("y"),
-    ).groupBy("item_a", "item_b").agg(*list_sums())
-
-
 def cheaper_plan(rated: DataFrame, raters: DataFrame, common: int) -> str:
     """The plan with less work, by the number of pairs it lists and the ratings it goes
     through for the sums. Where prefixes keep nearly all ratings, there is nothing to weigh."""
@@ -213,20 +150,17 @@ def cheaper_plan(rated: DataFrame, raters: DataFrame, common: int) -> str:
     return "prefix" if with_prefix < count_pairs(rated) else "pairs"
 
 
-def sums_of_pairs(rated: DataFrame, common: int, busy_degree: int, plan: str = "auto") -> DataFrame:
-    """Sums of pairs of items over their common users, at least of all pairs with
-    ``common`` of them. ``rated`` has one row per (user_id, item_id) and no NULL."""
+def sums_of_pairs(rated: DataFrame, common: int, busy_degree: int, plan: str = "auto",
+                  names: tuple[str, ...] = ALL_SUMS) -> DataFrame:
+    """The named sums of all pairs of items with ``common`` common users. ``rated`` has one
+    row per (user_id, item_id) and no NULL."""
     if plan not in PLANS:
         raise ValueError(f"unknown plan {plan!r}, expected one of {PLANS}")
     raters = written_table(
         rated.groupBy("item_id").agg(F.count("*").alias("raters"))
         .where(F.col("raters") >= common), "raters")
-    kept = rated.join(raters.select("item_id"), "item_id", "left_semi")
-    if plan != "pairs":
-        kept = written_table(kept, "kept")
+    kept = written_table(rated.join(raters.select("item_id"), "item_id", "left_semi"), "kept")
     if plan == "auto":
         plan = cheaper_plan(kept, raters, common)
-    if plan == "pairs":
-        return sums_of_lists(kept, common, busy_degree)
-    candidates = written_table(candidate_pairs(kept, common, busy_degree), "candidates")
-    return sums_of_candidates(candidates, kept, raters)
+    marked = marked_by_user(kept, common, busy_degree) if plan == "pairs" else marked_by_prefix(kept, common)
+    return summed(marked, common, busy_degree, names)

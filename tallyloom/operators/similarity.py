@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.correlation import metric as metric_named
+from tallyloom.functions.correlation import SUMS_OF, metric as metric_named
 from tallyloom.operators.allpairs import pair_sums, sums_of_pairs
 from tallyloom.settings import written_table
 
@@ -142,9 +142,10 @@ def all_pairs_similarity(
     ``min_common=0`` is the same as 1.
 
     Work is kept in bounds without leaving out results: an item with fewer than
-    ``min_common`` raters is in no result pair and is dropped; lists of more than
-    ``busy_degree`` items are cut into blocks; and where that is less work, pairs that
-    cannot reach ``min_common`` are told before anything is summed (``allpairs``).
+    ``min_common`` raters is in no result pair and is dropped; lists are cut into blocks by
+    groups of items, more of them if lists have more than ``busy_degree`` items; pairs are
+    summed where they are made; and where that is less work, pairs that cannot reach
+    ``min_common`` are told before all of their ratings are summed (``allpairs``).
     ``plan="pairs"`` and ``plan="prefix"`` choose one of the two ways.
 
     The collapsed ratings and what is known of items and users are written to the scratch
@@ -154,7 +155,7 @@ def all_pairs_similarity(
     rated = written_table(one_rating_per_item(ratings.where(
         F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
         & F.col("rating").isNotNull())), "rated")
-    total = sums_of_pairs(rated, common, busy_degree, plan)
+    total = sums_of_pairs(rated, common, busy_degree, plan, SUMS_OF[metric])
     out = (
         total.where(F.col("n") >= common)
         .select("item_a", "item_b", score_of(pair_sums()).alias("exact"),
