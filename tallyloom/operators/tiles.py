@@ -30,7 +30,8 @@ from tallyloom.settings import scratch_path
 GROUP_ROWS = 4_000_000  # ratings of a group; a task holds two groups
 TILE_PAIRS = 16_000_000  # pairs of ratings that a tile should go through
 BUSY_GROUPS = 32  # lists of busy users ask for at most so many groups
-STEP = 1 << 20  # pairs of ratings held at once
+STEP = 1 << 19  # pairs of ratings held at once
+DENSE = 8  # cells counted by place are at most so many times the pairs
 LOOKUP = 4  # a lookup costs as much as going through so many pairs
 
 ALL_SUMS = ("n", "x", "y", "xx", "yy", "xy", "min_x", "max_x", "min_y", "max_y")
@@ -165,49 +166,65 @@ class Tile:
 
     def sums(self, begin: int, end: int, listed: int, common: int, names: tuple[str, ...]):
         """(i, j, sums) of all pairs with ``common`` users."""
-        cells = (end - begin) * self.width
-        if cells <= 8 * listed:
-            keys = np.arange(begin * self.width, end * self.width)
-            total = Sums(names, cells)
-            for key, x, y in self.pairs(True, True, begin, end):
-                total.add(key - keys[0], x, y)
+        held = list(self.pairs(True, True, begin, end)) if listed <= STEP else None
+
+        def listed_pairs():
+            return held or self.pairs(True, True, begin, end)
+
+        cells, first = (end - begin) * self.width, begin * self.width
+        dense = held is None or cells <= DENSE * listed
+        if dense:
+            met = np.zeros(cells, np.int64)
+            for key, _, _ in listed_pairs():
+                met += np.bincount(key - first, minlength=cells)
+            cell = np.flatnonzero(met)
+            keys, met = cell + first, met[cell]
         else:
-            key, x, y = map(np.concatenate, zip(*self.pairs(True, True, begin, end)))
-            keys, slot = np.unique(key, return_inverse=True)
-            total = Sums(names, len(keys))
-            total.add(slot, x, y)
+            keys, met = np.unique(np.concatenate([key for key, _, _ in held]), return_counts=True)
         few = np.diff(self.left[False].first), np.diff(self.right_by_item.first)
         missing = few[0][keys // self.width] + few[1][keys % self.width]
-        alive = (total.of["n"] > 0) & (total.of["n"] + missing >= common)
-        others = [(mine, theirs) for mine, theirs in ((True, False), (False, True), (False, False))]
-        rest = sum(int(self.met(*kinds, begin, end)[2].sum()) for kinds in others)
-        if rest <= LOOKUP * missing[alive].sum():
-            for kinds in others:
-                for key, x, y in self.pairs(*kinds, begin, end):
-                    if cells == len(keys):
-                        slot = key - keys[0]
-                        hit = alive[slot]
-                    else:
-                        slot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                        hit = (keys[slot] == key) & alive[slot]
-                    total.add(slot[hit], x[hit], y[hit])
-        else:
-            self.look_up(keys, np.flatnonzero(alive), total)
-        found = np.flatnonzero(alive & (total.of["n"] >= common))
+        alive = met + missing >= common
+        keys, missing = keys[alive], missing[alive]
+        total = Sums(names, len(keys))
+        if dense:
+            number = np.full(cells, -1, np.int32)
+            number[keys - first] = np.arange(len(keys))
+
+        def add(key: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+            if dense:
+                slot = number[key - first]
+                hit = slot >= 0
+            else:
+                slot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = keys[slot] == key
+            total.add(slot[hit], x[hit], y[hit])
+
+        if len(keys):
+            for pairs in listed_pairs():
+                add(*pairs)
+            others = [(mine, theirs) for mine, theirs in ((True, False), (False, True), (False, False))]
+            rest = sum(int(self.met(*kinds, begin, end)[2].sum()) for kinds in others)
+            if rest <= LOOKUP * missing.sum():
+                for kinds in others:
+                    for pairs in self.pairs(*kinds, begin, end):
+                        add(*pairs)
+            else:
+                self.look_up(keys, total)
+        found = np.flatnonzero(total.of["n"] >= common)
         return keys[found] // self.width, keys[found] % self.width, {k: v[found] for k, v in total.of.items()}
 
-    def look_up(self, keys: np.ndarray, slots: np.ndarray, total: Sums) -> None:
-        """Add to the given slots what ratings that are not listed give with any other: from
+    def look_up(self, keys: np.ndarray, total: Sums) -> None:
+        """Add to the pairs of items what ratings that are not listed give with any other: from
         those of ``i`` first, then from those of ``j`` with the listed ones of ``i``."""
-        i, j = keys[slots] // self.width, keys[slots] % self.width
+        i, j = keys // self.width, keys % self.width
         mine, theirs = self.left[False], self.right_by_item
         for owner, place in pieces(mine.first[i], np.diff(mine.first)[i]):
             for right in self.right.values():
                 hit, at = right.find(mine.minor[place], j[owner])
-                total.add(slots[owner[hit]], mine.rating[place[hit]], right.rating[at])
+                total.add(owner[hit], mine.rating[place[hit]], right.rating[at])
         for owner, place in pieces(theirs.first[j], np.diff(theirs.first)[j]):
             hit, at = self.left[True].find(i[owner], theirs.minor[place])
-            total.add(slots[owner[hit]], self.left[True].rating[at], theirs.rating[place[hit]])
+            total.add(owner[hit], self.left[True].rating[at], theirs.rating[place[hit]])
 
     def batch(self, i: np.ndarray, j: np.ndarray, sums: dict[str, np.ndarray]) -> pa.RecordBatch:
         one, two = self.of_i[i], self.of_j[j]

@@ -35,12 +35,14 @@ def brute_force(rows, common):
 
 @pytest.mark.parametrize("lookup", [0, 100])
 @pytest.mark.parametrize("step", [7, 1000])
+@pytest.mark.parametrize("dense", [0, 8])
 @pytest.mark.parametrize("groups", [1, 3])
-def test_tiles_agree_with_brute_force(monkeypatch, lookup, step, groups):
+def test_tiles_agree_with_brute_force(monkeypatch, lookup, step, groups, dense):
     """Users 0 and 1 rate everything and are not listed; in a second run each item has two
     other raters that are not."""
     monkeypatch.setattr(tiles, "LOOKUP", lookup)
     monkeypatch.setattr(tiles, "STEP", step)
+    monkeypatch.setattr(tiles, "DENSE", dense)
     rows, common = ratings(groups), 3
     last = {}
     for user, item, _ in rows:
