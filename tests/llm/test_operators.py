@@ -6,6 +6,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyloom.llm import (
@@ -414,6 +415,64 @@ def test_search_equals_exhaustive_scores(spark, monkeypatch):
     assert np.allclose([r[3] for r in got], [r[3] for r in wanted], atol=2e-4)
 
 
+def kinds_of_documents(size=300):
+    """Documents of two kinds in turns, which share one widespread word."""
+    rng = random.Random(5)
+    words = [[f"{kind}{k}" for k in range(60)] for kind in "ab"]
+    return [(k, " ".join(["of", f"{'ab'[k % 2]}common", *rng.choices(words[k % 2], k=25)])) for k in range(size)]
+
+
+def test_shards_put_like_documents_together(monkeypatch):
+    monkeypatch.setattr(topk_search, "BLOCK", 10)
+    ids, texts = zip(*kinds_of_documents())
+    batch = pa.record_batch([pa.array(ids), pa.array([t.encode() for t in texts])], names=["doc_id", "text"])
+    (shard,) = [row for found in topk_search.index_task(iter([batch])) for row in found.to_pylist()]
+    docs = np.frombuffer(shard["docs"], np.int64)
+    assert sorted(docs.tolist()) == list(ids)
+    assert all(len(set((docs[k:k + 10] % 2).tolist())) == 1 for k in range(0, len(docs), 10))
+
+
+def test_search_skips_blocks_of_another_kind(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "BLOCK", 10)
+    docs = spark.createDataFrame(kinds_of_documents(), "doc_id long, text string").coalesce(1)
+    index = [row for found in topk_search.index_task(iter(
+        docs.selectExpr("doc_id", "CAST(text AS BINARY) AS text").toArrow().to_batches())) for row in found.to_pylist()]
+    shard = topk_search.Shard(index[0], 27.0)
+    own = topk_search.word_hashes([docs.first()["text"].encode()], topk_search.SEPARATORS)[0]
+    place = shard.terms.searchsorted(np.unique(own))
+    idf = np.log1p((300 - shard.df[place] + 0.5) / (shard.df[place] + 0.5))
+    queries = topk_search.Queries([pa.RecordBatch.from_arrays(
+        [pa.array([0]), pa.array([shard.terms[place].view(np.int64)]), pa.array([idf])], names=["query_id", "terms", "idf"])])
+    scored = []
+    add = topk_search.Shard.add_frequent
+    monkeypatch.setattr(topk_search.Shard, "add_frequent",
+                        lambda self, block, *rest: (scored.append(block), add(self, block, *rest)))
+    bests = topk_search.Bests(1, 10)
+    shard.search(queries, bests)
+    assert bests.docs[0, 0] == 0 and 0 < len(scored) <= 15
+    assert not (shard.docs[np.concatenate([np.arange(10 * b, 10 * b + 10) for b in scored])] % 2).any()
+
+
+def test_search_is_the_same_in_steps_of_any_size(spark, monkeypatch, new_path):
+    monkeypatch.setattr(topk_search, "scratch_path", lambda *_: new_path)
+    rng = random.Random(9)
+    rows = kinds_of_documents(400) + [(k, prose(rng, rng.randint(0, 80))) for k in range(400, 600)]
+    rows += [(k, rows[7][1]) for k in range(600, 640)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    queries = docs.where("doc_id % 7 = 0").withColumnRenamed("doc_id", "query_id")
+    whole = sorted(topk_search.search(docs, queries, 5).collect())
+    index = topk_search.index_task(iter(docs.selectExpr("doc_id", "CAST(text AS BINARY) AS text").toArrow().to_batches()))
+    (shard,) = [row for found in index for row in found.to_pylist()]
+    batch = pa.RecordBatch.from_pylist([shard])
+    mean = float(np.frombuffer(shard["lengths"], np.int64).mean())
+    for name, value in [("BLOCK", 7), ("QUERIES", 3), ("PAIRS", 50), ("CELLS", 900), ("TERMS", 2), ("STEP", 100), ("LEAST", 1)]:
+        monkeypatch.setattr(topk_search, name, value)
+    search = topk_search.search_task(f"file://{new_path}", mean, 5)
+    found = [row for got in search(iter([batch])) for row in got.to_pylist()]
+    found.sort(key=lambda r: (r["query_id"], -r["score"], r["doc_id"]))
+    assert [tuple(r.values()) for r in found] == [(r["query_id"], r["doc_id"], r["score"]) for r in whole]
+
+
 @pytest.mark.parametrize("name", ["passages", "near", "secrets", "packing", "search", "html", "warc", "quality"])
 def test_empty_tables(spark, name):
     docs = spark.createDataFrame([], "doc_id long, text string, quality int")
