@@ -3,18 +3,20 @@
 Words are counted first. Then, level by level, phrases of one more word are counted:
 
 * **Candidates** are Apriori-safe: both phrases of one word less that a candidate consists
-  of must be frequent, and so must its bucket in a sieve, which holds the occurrences of
-  all phrases of its length by hash. A filter by hash may let too much pass, never too
-  little, so results do not depend on sizes of filters.
-* **Counts.** Candidates are cut into tries of bounded size, each a double array over word
-  numbers. A task looks up the words of a slice of text, then moves the states of all text
-  positions at once, one word at a time, and adds up the accepting states. The counts of
-  all tasks are summed. Tries are broadcast in groups of at most ``group_bytes``; if there
-  are more, the texts are read once per group, so large corpora want a larger bound.
-
-Filters and sieves are bit sets of at most 2^MOST_BITS bits, and so bounded as well.
-Everything else stays distributed. Texts of any length are read in slices that overlap by
-the words a phrase may reach beyond them.
+  of must pass a filter that holds all frequent ones, and so must the candidate itself. For
+  that its occurrences are counted by hash: tasks add up what they hold, and deal hashes
+  with their numbers to parts. A filter by hash may let too much pass, never too little, so
+  results do not depend on sizes of filters.
+* **Counts.** A task adds up the candidates of its texts and deals them out, with their
+  numbers, to parts of all phrases. For each part a trie, a double array over word numbers,
+  takes in the phrases of all tasks: the states of all phrases move on at once, one word at
+  a time, and accepting states are added up. What no trie of the part accepts is new and
+  makes the next one, so that tries have a bounded size. Each phrase goes to one part only,
+  and the texts are read twice for each level, however many candidates there are.
+
+Filters are bit sets of at most 2^MOST_BITS bits, and so bounded as well. Everything else
+stays distributed. Texts of any length are read in slices that overlap by the words a phrase
+may reach beyond them.
 
 Defined cases: a NULL or empty text has no words, a NULL language is "und". Rows with NULL
 or repeated ids count like others; an empty table gives no rows; further columns of the
@@ -31,24 +33,30 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import mixed, powers, text_batches
+from tallyloom.llm.common import mixed, powers, shuffle_parts, text_batches
 from tallyloom.settings import written_table
 
 NO_LANG = "und"
 CHUNK_BYTES = 2 << 20
 HELD_ROWS = 400_000
-# A trie holds at most so many phrases and bytes of phrases; tries are broadcast in groups.
+# A trie holds about so many phrases and bytes of phrases at most; the tries of a part, which
+# take about TRIE_WEIGHT bytes a phrase, hold about GROUP_BYTES.
 TRIE_PHRASES = 250_000
 TRIE_BYTES = 8 << 20
+TRIE_WEIGHT = 24
 GROUP_BYTES = 20 << 20
-# Bit sets: buckets per phrase expected, and bounds of their number.
-LEAST_BITS, MOST_BITS = 16, 26
-SLICE_BITS = 17
-MOST_COUNT = 15
+LEAST_PARTS, MOST_PARTS = 64, 1 << 20
+# Hashes: how many a task holds and a part gets, the bounds of the parts' number, the largest
+# count that is told from others.
+HELD_HASHES, PART_HASHES = 2_000_000, 1_000_000
+LEAST_PART_BITS, MOST_PART_BITS = 6, 13
+MOST_COUNT = 255
+# Bit sets: bits per hash, bounds of their number, and a factor for each bit that a hash sets.
+HASH_BITS, LEAST_BITS, MOST_BITS = 16, 16, 28
+PROBES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
 
 # Kinds of bytes: part of a word, between words, end of a piece.
 WORD, BLANK, CUT = 0, 1, 2
@@ -85,14 +93,15 @@ def split_words(lang: str, data: np.ndarray, texts: np.ndarray, limit: int) -> S
     """``texts`` are the places where texts begin; words from ``limit`` on are not owned."""
     kind = KIND[data]
     word = kind == WORD
-    begins = word.copy()
+    begins, ends = word.copy(), word.copy()
     begins[1:] &= ~word[:-1]
     begins[texts] = word[texts]
+    ends[:-1] &= ~word[1:]
+    ends[texts[1:] - 1] = word[texts[1:] - 1]
     starts = np.flatnonzero(begins)
     if not len(starts):
         return None
-    sizes = np.add.reduceat(word, starts, dtype=np.int32)
-    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    offsets = np.concatenate(([0], np.cumsum(np.flatnonzero(ends) + 1 - starts))).astype(np.int32)
     array = pa.Array.from_buffers(pa.binary(), len(starts), [
         None, pa.py_buffer(offsets), pa.py_buffer(LOWER[data[word]])])
     encoded = array.dictionary_encode()
@@ -137,17 +146,18 @@ def cut_text(lang: str, text: bytes, between: re.Pattern, more: re.Pattern) -> I
 
 
 class Gathered:
-    """Rows of a task by (lang, phrase), added up while they are held."""
+    """Rows of a task by (lang, phrase) with their number, added up while they are held; with
+    the part each phrase is dealt to, if it is."""
 
-    def __init__(self, with_counts: bool):
-        self.columns = ["lang", "phrase"] + (["n"] if with_counts else [])
+    def __init__(self, dealt: bool = False):
+        self.columns = ["lang", "phrase", "n"] + (["part"] if dealt else [])
         self.parts: list[pa.Table] = []
         self.rows, self.least = 0, HELD_ROWS
 
-    def add(self, lang: str, phrases: pa.Array, counts: np.ndarray | None = None) -> None:
+    def add(self, lang: str, phrases: pa.Array, counts: np.ndarray, dealt: np.ndarray | None = None) -> None:
         columns = [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(phrases), dtype=np.int64))),
-                   phrases.view(pa.string())]
-        columns += [] if counts is None else [pa.array(counts, pa.int64())]
+                   phrases.view(pa.string()), pa.array(counts, pa.int64())]
+        columns += [] if dealt is None else [pa.array(dealt, pa.int32())]
         self.parts.append(pa.table(columns, names=self.columns))
         self.rows += len(phrases)
 
@@ -161,9 +171,10 @@ class Gathered:
         return self.rows > HELD_ROWS
 
     def merge(self) -> None:
-        sums = [("n", "sum")] if "n" in self.columns else []
-        table = pa.concat_tables(self.parts).group_by(["lang", "phrase"]).aggregate(sums)
-        self.parts = [table.rename_columns({"n_sum": "n"} if sums else {}).select(self.columns)]
+        table = pa.concat_tables(self.parts).group_by(["lang", "phrase"]).aggregate(
+            [("n", "sum"), *[(name, "max") for name in self.columns[3:]]])
+        self.parts = [table.rename_columns({"n_sum": "n", **{f"{name}_max": name for name in self.columns[3:]}})
+                      .select(self.columns)]
         self.rows = table.num_rows
 
     def flush(self, most: int = 50_000) -> Iterator[pa.RecordBatch]:
@@ -175,7 +186,7 @@ class Gathered:
 
 def word_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words."""
-    held = Gathered(with_counts=True)
+    held = Gathered()
     for part in slices(batches, 0):
         counts = np.bincount(part.codes[:part.own], minlength=len(part.words))
         held.add(part.lang, part.words, counts)
@@ -226,83 +237,153 @@ def phrase_hashes(phrases: pa.Array, langs: pa.Array) -> np.ndarray:
     return out
 
 
+def part_bits(count: int) -> int:
+    """Leading bits of a hash that number its part, for ``count`` hashes."""
+    return min(max((count // PART_HASHES).bit_length(), LEAST_PART_BITS), MOST_PART_BITS)
+
+
+def keys_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The 32 bits behind those of the part."""
+    return (hashes >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)
+
+
+def probe(keys: np.ndarray, factor: int, width: int) -> np.ndarray:
+    """The bit of 2^width that a key sets for a factor."""
+    return ((keys * np.uint64(factor)) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - width)
+
+
 @dataclass
 class BitSet:
-    """Hashes by their leading bits."""
+    """Hashes, each by several bits in the range of its part: 2^width bits for each part."""
 
     bits: int
+    width: int
     data: np.ndarray
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-        return (self.data[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
+        out = np.zeros(len(hashes), dtype=bool)
+        part = hashes >> np.uint64(64 - self.bits) << np.uint64(self.width)
+        keys = keys_of(hashes, self.bits)
+        at = np.arange(len(hashes))
+        for factor in PROBES:
+            bit = part | probe(keys, factor, self.width)
+            on = (self.data[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            at, part, keys = at[on], part[on], keys[on]
+        out[at] = True
+        return out
 
 
-def bits_for(count: int) -> int:
-    """Bits so that there are about ``count`` buckets, within the bounds."""
-    return min(max(math.ceil(math.log2(max(count, 1))), LEAST_BITS), MOST_BITS)
+HashSource = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
+DEALT = "part int, keys binary, counts binary"
+KEPT = "part int, n long, keys binary"
 
 
-HashSource = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
-COUNTERS = "slice int, counters binary"
+def runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin and end."""
+    begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    return begins, np.append(begins[1:], len(key)) if len(key) else begins
+
+
+def binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of ``values``, cut at ``ends``."""
+    offsets = (np.concatenate(([0], ends)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [
+        None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
 
+def numbers_in(column: pa.Array, row: int, kind: type) -> np.ndarray:
+    return np.frombuffer(column[row].as_buffer(), dtype=kind)
 
-def counter_task(source: HashSource, bits: int, least: int):
-    """Adds up hashes by bucket, up to ``least`` each; two counters share a byte."""
+
+def deal_task(source: HashSource, bits: int, least: int):
+    """Different hashes with their number, ``least`` at most, in a row for each part."""
+
+    def dealt(held: list[np.ndarray]) -> pa.RecordBatch:
+        hashes = np.sort(np.concatenate(held))
+        begins, ends = runs(hashes)
+        counts = np.minimum(ends - begins, least).astype(np.uint8)
+        hashes = hashes[begins]
+        part = (hashes >> np.uint64(64 - bits)).astype(np.int32)
+        begins, ends = runs(part)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[begins]), binaries(keys_of(hashes, bits).astype(np.uint32), ends), binaries(counts, ends)],
+            names=["part", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << bits, dtype=np.uint8)
+        held, rows = [], 0
         for hashes in source(batches):
-            bucket, times = np.unique(hashes >> np.uint64(64 - bits), return_counts=True)
-            counters[bucket] = np.minimum(counters[bucket] + np.minimum(times, least), least)
-        width = 1 << min(SLICE_BITS, bits)
-        for number in range(len(counters) // width):
-            part = counters[number * width:(number + 1) * width]
-            if part.any():
-                packed = (part[0::2] | part[1::2] << 4).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([packed], pa.binary())],
-                                                 names=["slice", "counters"])
+            held.append(hashes)
+            rows += len(hashes)
+            if rows > HELD_HASHES:
+                yield dealt(held)
+                held, rows = [], 0
+        if rows:
+            yield dealt(held)
 
     return run
 
 
-def sum_task(least: int):
-    """Counters of all tasks, one slice after the other; gives the bits of full ones."""
+def keep_task(least: int):
+    """Of rows sorted by part, the hashes that all tasks together have ``least`` times."""
 
-    def row(number: int, total: np.ndarray) -> pa.RecordBatch:
-        full = np.packbits(total >= least, bitorder="little").tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([full], pa.binary())],
-                                          names=["slice", "counters"])
+    def kept(part: int, keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.concatenate(keys).astype(np.uint64) << np.uint64(8) | np.concatenate(counts).astype(np.uint64)
+        both.sort()
+        key = both >> np.uint64(8)
+        begins, _ = runs(key)
+        full = np.add.reduceat((both & np.uint64(255)).astype(np.int64), begins) >= least
+        found = key[begins[full]].astype(np.uint32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([len(found)], pa.int64()), pa.array([found.tobytes()], pa.binary())],
+            names=["part", "n", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, total = None, None
+        part, keys, counts = None, [], []
         for batch in batches:
-            for new, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = np.frombuffer(packed.as_buffer(), dtype=np.uint8)
-                part = np.empty(2 * len(data), dtype=np.uint8)
-                part[0::2], part[1::2] = data & 15, data >> 4
-                if new != number:
-                    if number is not None:
-                        yield row(number, total)
-                    number, total = new, np.zeros(len(part), dtype=np.uint8)
-                total = np.minimum(total + part, least)
-        if number is not None:
-            yield row(number, total)
+            for row, new in enumerate(batch.column(0).to_pylist()):
+                if keys and new != part:
+                    yield kept(part, keys, counts)
+                    keys, counts = [], []
+                part = new
+                keys.append(numbers_in(batch.column(1), row, np.uint32))
+                counts.append(numbers_in(batch.column(2), row, np.uint8))
+        if keys:
+            yield kept(part, keys, counts)
 
     return run
 
 
-def bit_set(table: DataFrame, source: HashSource, bits: int, least: int) -> BitSet:
-    """Buckets with at least ``least`` hashes (MOST_COUNT at most). Counters are added up
-    by Spark; only the bits come to the driver, 2^MOST_BITS of them at most."""
-    least = min(least, MOST_COUNT)
-    summed = (table.mapInArrow(counter_task(source, bits, least), COUNTERS)
-              .repartition("slice").sortWithinPartitions("slice").mapInArrow(sum_task(least), COUNTERS))
-    width = (1 << min(SLICE_BITS, bits)) // 8
-    data = np.zeros((1 << bits) // 8, dtype=np.uint8)
-    for row in summed.collect():  # bounded by the number of bits
-        data[row["slice"] * width:(row["slice"] + 1) * width] = np.frombuffer(row["counters"], dtype=np.uint8)
-    return BitSet(bits, data)
+def bits_task(width: int):
+    """The bits of each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, part in enumerate(batch.column(0).to_pylist()):
+                keys = numbers_in(batch.column(1), row, np.uint32).astype(np.uint64)
+                full = np.zeros(1 << width, dtype=bool)
+                for factor in PROBES:
+                    full[probe(keys, factor, width)] = True
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([np.packbits(full, bitorder="little").tobytes()], pa.binary())],
+                    names=["part", "bits"])
+
+    return run
+
+
+def bit_set(table: DataFrame, source: HashSource, count: int, least: int, label: str) -> tuple[BitSet, int]:
+    """A filter that lets all hashes pass which occur ``least`` times (MOST_COUNT at most)
+    among some ``count``, and few others; and how many those are. Only its bits come to the
+    driver, 2^MOST_BITS of them at most."""
+    least, bits = min(least, MOST_COUNT), part_bits(count)
+    kept = written_table(table.mapInArrow(deal_task(source, bits, least), DEALT)
+                         .repartition("part").sortWithinPartitions("part").mapInArrow(keep_task(least), KEPT), label)
+    found = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    width = max(min(max((HASH_BITS * found).bit_length(), LEAST_BITS), MOST_BITS) - bits, 3)
+    data = np.zeros(1 << (bits + width - 3), dtype=np.uint8)
+    size = 1 << (width - 3)
+    for row in kept.select("part", "keys").mapInArrow(bits_task(width), "part int, bits binary").toLocalIterator():
+        data[row["part"] * size:(row["part"] + 1) * size] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return BitSet(bits, width, data), found
 
 
 def hashes_of_table(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -310,11 +391,6 @@ def hashes_of_table(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield phrase_hashes(batch.column(1), batch.column(0))
 
 
-def frequent_set(frequent: DataFrame) -> BitSet:
-    """A filter that lets all phrases of a table pass, and few others."""
-    return bit_set(frequent.select("lang", "phrase"), hashes_of_table, bits_for(8 * frequent.count()), 1)
-
-
 def possible(part: Slice, size: int, prior: BitSet) -> tuple[np.ndarray, np.ndarray]:
     """Positions of owned phrases of ``size`` words whose two parts of one word less pass
     the filter, and the hashes of those phrases."""
@@ -331,7 +407,7 @@ def possible(part: Slice, size: int, prior: BitSet) -> tuple[np.ndarray, np.ndar
     return at, hashes[at]
 
 
-def sieve_source(prior, size: int) -> HashSource:
+def hashes_of_texts(prior, size: int) -> HashSource:
     def source(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for part in slices(batches, size - 1):
             yield possible(part, size, prior.value)[1]
@@ -339,40 +415,51 @@ def sieve_source(prior, size: int) -> HashSource:
     return source
 
 
-PACKED = "lang string, part int, phrases array<string>"
+PACKED = "lang string, part int, sizes binary, phrases binary, counts binary"
 
 
-def candidate_task(prior, sieve, size: int, parts: int):
-    """Different phrases of ``size`` words that pass the filter and the sieve, in packs: a
-    row holds all a task has for one language and one part of the phrases by hash."""
+def pack_task(prior, sieve, size: int, parts: int):
+    """Different phrases of ``size`` words that pass the filter and the sieve, with their
+    number, in packs: a row holds what a task has for one language and one part of the
+    phrases by hash, the bytes of all phrases one after the other."""
 
     def packs(held: Gathered) -> Iterator[pa.RecordBatch]:
         for table in held.flush(2 * HELD_ROWS):
-            phrases, langs = table.column(1), table.column(0)
-            part = (phrase_hashes(phrases, langs) % np.uint64(parts)).astype(np.int64)
-            number = pc.index_in(langs, value_set=langs.unique()).to_numpy()
-            order = np.argsort(number * np.int64(parts) + part, kind="stable")
-            key = (number * np.int64(parts) + part)[order]
-            heads = np.flatnonzero(np.diff(key, prepend=-1))
-            ends = np.append(heads, len(key)).astype(np.int32)
+            langs = table.column(0)
+            key = pc.index_in(langs, value_set=langs.unique()).to_numpy() * np.int64(parts) + table.column(3).to_numpy()
+            order = np.argsort(key, kind="stable")
+            begins, ends = runs(key[order])
+            table = table.take(pa.array(order))
+            phrases = table.column(1).cast(pa.binary())
+            offsets = np.frombuffer(phrases.buffers()[1], dtype=np.int32)[phrases.offset:phrases.offset + len(order) + 1]
+            data = np.frombuffer(phrases.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
+            heads = pa.array(begins)
             yield pa.RecordBatch.from_arrays(
-                [langs.take(pa.array(order[heads])), pa.array(part[order[heads]], pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(ends), phrases.take(pa.array(order)))],
-                names=["lang", "part", "phrases"])
+                [table.column(0).take(heads), table.column(3).take(heads), binaries(np.diff(offsets), ends),
+                 binaries(data, offsets[ends] - offsets[0]), binaries(table.column(2).to_numpy(), ends)],
+                names=["lang", "part", "sizes", "phrases", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Gathered(with_counts=False)
+        held = Gathered(dealt=True)
         for part in slices(batches, size - 1):
             at, hashes = possible(part, size, prior.value)
-            at = at[sieve.value.has(hashes)]
+            passed = sieve.value.has(hashes)
+            at, hashes = at[passed], hashes[passed]
             if not len(at):
                 continue
-            key = part.codes[at].astype(np.int64)
+            key, most = part.codes[at].astype(np.int64), len(part.words)
             for k in range(1, size):
-                key = np.unique(key, return_inverse=True)[1] * np.int64(len(part.words)) + part.codes[at + k]
-            first = at[np.unique(key, return_index=True)[1]]
+                if most * len(part.words) >= 1 << 63:  # too large to number: number those there are
+                    found, key = np.unique(key, return_inverse=True)
+                    most = len(found)
+                key = key * np.int64(len(part.words)) + part.codes[at + k]
+                most *= len(part.words)
+            _, first, counts = np.unique(key, return_index=True, return_counts=True)
+            dealt = hashes[first] % np.uint64(parts)
+            first = at[first]
             words = [part.words.take(pa.array(part.codes[first + k])) for k in range(size)]
-            held.add(part.lang, pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())))
+            phrases = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()))
+            held.add(part.lang, phrases, counts, dealt.astype(np.int32))
             if held.full():
                 yield from packs(held)
         yield from packs(held)
@@ -380,40 +467,6 @@ def candidate_task(prior, sieve, size: int, parts: int):
     return run
 
 
-def unpack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Different phrases of packs sorted by language and part."""
-    key, held = None, []
-
-    def merged() -> Iterator[pa.RecordBatch]:
-        phrases = pc.unique(pa.concat_arrays(held))
-        for begin in range(0, len(phrases), 50_000):
-            some = phrases[begin:begin + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(some), pa.string()), some],
-                                             names=["lang", "phrase"])
-
-    for batch in batches:
-        for row in range(batch.num_rows):
-            new = (batch.column(0)[row].as_py(), batch.column(1)[row].as_py())
-            if held and new != key:
-                yield from merged()
-                held = []
-            key = new
-            held.append(batch.column(2)[row].values)
-            if len(held) > 64:  # copies go as they come
-                held = [pc.unique(pa.concat_arrays(held))]
-    if held:
-        yield from merged()
-
-
-def candidates_of(texts: DataFrame, prior, sieve, size: int, positions: int) -> DataFrame:
-    """Candidates (lang, phrase) of ``size`` words. Parts are many enough to hold a few
-    hundred thousand phrases at most."""
-    parts = max(positions // 2_000_000, 64)
-    packed = texts.mapInArrow(candidate_task(prior, sieve, size, parts), PACKED)
-    return (packed.repartition("lang", "part").sortWithinPartitions("lang", "part")
-            .mapInArrow(unpack_task, "lang string, phrase string"))
-
-
 # --- tries -------------------------------------------------------------------------
 
 @dataclass
@@ -435,48 +488,71 @@ def half_bits(words: int) -> int:
     return max((max(words - 1, 1).bit_length() + 1) // 2, 1)
 
 
-# Sets of children of at least this share of the symbols get room of their own.
+# Sets of children of at least this share of the symbols get room of their own, and others
+# that after some rounds still clash.
 LARGE_SHARE = 4
-ROUNDS = 100
+ROUNDS = 8
 
 
 def place_children(parents: np.ndarray, children: np.ndarray, symbols: int, base: np.ndarray,
                    check: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Finds a base for each parent so that its children fall on free states. ``parents``
     is sorted and goes with ``children``. Large sets are laid side by side behind all
-    others. Of smaller ones, parents with equally many children are tried together, those
-    with most first; where places clash, one of them wins the round."""
+    others. Of smaller ones, parents with up to 2^k children are tried together, those with
+    most first; where places clash, one of them wins the round. Single children take the
+    states that are left."""
     heads = np.flatnonzero(np.diff(parents, prepend=-1))
     sizes = np.diff(np.append(heads, len(parents)))
     state = np.zeros(len(children), dtype=np.int64)
-    large = np.flatnonzero(sizes * LARGE_SHARE >= symbols)
-    if len(large):
+    large = sizes * LARGE_SHARE >= symbols
+    base, check = grown(base, check, 2 * int(sizes[~large].sum()) + 2 * symbols)
+
+    def side_by_side(some: np.ndarray) -> None:
+        nonlocal base, check
         begin = len(base)
-        base, check = grown(base, check, (len(large) + 1) * symbols)
-        base[parents[heads[large]]] = begin + np.arange(len(large)) * symbols
-        of_large = np.repeat(sizes * LARGE_SHARE >= symbols, sizes)
-        state[of_large] = base[parents[of_large]] + children[of_large]
-        check[state[of_large]] = parents[of_large]
-    small = sizes * LARGE_SHARE < symbols
-    for size in np.unique(sizes[small])[::-1].tolist():
-        open_heads, tries = heads[small & (sizes == size)], 0
-        while len(open_heads):
-            members = open_heads[:, None] + np.arange(size)
-            guess = rng.integers(1, len(base) - symbols + 1, len(open_heads))
+        base, check = grown(base, check, (len(some) + 1) * symbols)
+        base[parents[heads[some]]] = begin + np.arange(len(some)) * symbols
+        members = np.repeat(heads[some] - np.cumsum(sizes[some]) + sizes[some], sizes[some]) + np.arange(
+            sizes[some].sum())
+        state[members] = base[parents[members]] + children[members]
+        check[state[members]] = parents[members]
+
+    if large.any():
+        side_by_side(np.flatnonzero(large))
+    small, most = np.where(large, 0, sizes), 1
+    while most < small.max(initial=1):
+        most *= 2
+    while most > 1:
+        still = np.flatnonzero((small > most // 2) & (small <= most))
+        for _ in range(ROUNDS):
+            if not len(still):
+                break
+            # Shorter sets repeat their last child.
+            members = heads[still][:, None] + np.minimum(np.arange(most), small[still][:, None] - 1)
+            guess = rng.integers(1, len(base) - symbols + 1, len(still))
             target = guess[:, None] + children[members]
             fits = (check[target] == -1).all(axis=1)
-            members, target, guess, rest = members[fits], target[fits], guess[fits], open_heads[~fits]
-            mine = parents[members[:, 0]] if len(members) else np.zeros(0, dtype=np.int64)
+            members, target, guess, fitting = members[fits], target[fits], guess[fits], still[fits]
+            mine = parents[heads[fitting]]
             check[target] = mine[:, None]  # the last one to write a state keeps it
             won = (check[target] == mine[:, None]).all(axis=1)
             lost = target[~won]
             check[lost[check[lost] == mine[~won][:, None]]] = -1
             base[mine[won]] = guess[won]
             state[members[won]] = target[won]
-            open_heads = np.concatenate((rest, members[~won][:, 0]))
-            tries += 1
-            if tries % ROUNDS == 0:  # crowded: more room
-                base, check = grown(base, check, max(size * len(open_heads), len(base) // 32, symbols))
+            still = np.concatenate((still[~fits], fitting[~won]))
+        if len(still):
+            side_by_side(still)
+        most //= 2
+    single = heads[small == 1]
+    free = np.flatnonzero(check[symbols:len(check) - symbols] == -1)[:len(single)] + symbols
+    if len(free) < len(single):  # new states follow the others
+        more = len(single) - len(free)
+        free = np.concatenate((free, len(check) + np.arange(more)))
+        base, check = grown(base, check, more + symbols)
+    base[parents[single]] = free - children[single]
+    check[free] = parents[single]
+    state[single] = free
     return state, base, check
 
 
@@ -521,73 +597,17 @@ def build_trie(lang: str, phrases: pa.Array) -> tuple[Trie, np.ndarray]:
     return Trie(lang, words, half, base[:needed], check[:needed]), out
 
 
-BUILT = "lang string, phrase string, trie long, state long, n_states long, words binary, base binary, check binary"
-
-
-def build_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tries of sorted (lang, phrase) rows. Each gives one row with its arrays, and a row
-    with the state of each phrase."""
-    first = TaskContext.get().partitionId() << 20
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("trie", pa.int64()),
-                        ("state", pa.int64()), ("n_states", pa.int64()), ("words", pa.binary()),
-                        ("base", pa.binary()), ("check", pa.binary())])
-    number = 0
-
-    def built(lang: str, parts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-        phrases = pa.concat_arrays(parts)
-        trie, states = build_trie(lang, phrases)
-        table = pa.table({"word": trie.words})
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as writer:
-            writer.write_table(table)
-        key = first + number
-        yield pa.RecordBatch.from_pylist([{
-            "lang": lang, "trie": key, "n_states": len(trie.base), "words": sink.getvalue().to_pybytes(),
-            "base": trie.base.tobytes(), "check": trie.check.tobytes()}], schema=schema)
-        for begin in range(0, len(phrases), 50_000):
-            some = phrases[begin:begin + 50_000]
-            size = len(some)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * size, pa.string()), some, pa.array(np.full(size, key)),
-                 pa.array(states[begin:begin + size]), *[pa.nulls(size, f.type) for f in list(schema)[4:]]],
-                schema=schema)
-
-    lang, parts, rows, held = None, [], 0, 0
-    for batch in batches:
-        ends = np.flatnonzero(pc.not_equal(batch.column(0)[1:], batch.column(0)[:-1]).to_numpy(
-            zero_copy_only=False)) + 1 if batch.num_rows > 1 else np.zeros(0, dtype=np.int64)
-        for begin, end in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows]):
-            if begin == end:
-                continue
-            new, phrases = batch.column(0)[begin].as_py(), batch.column(1)[begin:end]
-            if parts and (new != lang or rows + len(phrases) > TRIE_PHRASES or held > TRIE_BYTES):
-                yield from built(lang, parts)
-                parts, rows, held, number = [], 0, 0, number + 1
-            lang = new
-            parts.append(phrases)
-            rows += len(phrases)
-            held += pc.sum(pc.binary_length(phrases)).as_py()
-    if parts:
-        yield from built(lang, parts)
-
-
-def loaded(row) -> Trie:
-    words = pa.ipc.open_stream(row["words"]).read_all().column("word").combine_chunks()
-    return Trie(row["lang"], words, half_bits(len(words)), np.frombuffer(row["base"], dtype=np.int32),
-                np.frombuffer(row["check"], dtype=np.int32))
-
-
-def advance(trie: Trie, part: Slice, size: int) -> np.ndarray:
-    """The accepting states of all owned positions: states of all of them move on by one
-    word at a time."""
-    number = pc.index_in(part.words, value_set=trie.words).fill_null(-1).to_numpy(zero_copy_only=False)
-    word, linked = number[part.codes], part.linked()
-    at = np.flatnonzero(word[:part.own] >= 0)
+def walk(trie: Trie, words: pa.Array, codes: np.ndarray, at: np.ndarray, size: int,
+         linked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the positions ``at`` of phrases that the trie accepts, and their states:
+    states of all positions move on by one word at a time."""
+    number = pc.index_in(words, value_set=trie.words).fill_null(-1).to_numpy(zero_copy_only=False)
+    word = number[codes]
     state = np.zeros(len(at), dtype=np.int32)
     for k in range(size):
-        if k:
-            on = linked[at + k - 1]
-            at, state = at[on], state[on]
+        on = word[at + k] >= 0 if linked is None or not k else linked[at + k - 1]
+        at, state = at[on], state[on]
+        if k and linked is not None:
             on = word[at + k] >= 0
             at, state = at[on], state[on]
         for upper in (True, False):
@@ -595,70 +615,95 @@ def advance(trie: Trie, part: Slice, size: int) -> np.ndarray:
             target = trie.base[state] + (here >> trie.half if upper else here & ((1 << trie.half) - 1))
             on = trie.check[target] == state
             at, state = at[on], target[on]
-    return state
+    return at, state
 
 
-STATES = "trie long, state long, n long"
+def advance(trie: Trie, part: Slice, size: int) -> np.ndarray:
+    """The accepting states of all owned positions."""
+    return walk(trie, part.words, part.codes, np.arange(part.own), size, part.linked())[1]
+
+
+class Counted:
+    """The tries of one language and one part of the phrases, with visits of their states."""
+
+    def __init__(self, lang: str, size: int):
+        self.lang, self.size = lang, size
+        self.tries: list[tuple[Trie, pa.Array, np.ndarray, np.ndarray]] = []
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.rows = self.bytes = 0
+
+    def add(self, sizes: np.ndarray, data: np.ndarray, counts: np.ndarray) -> None:
+        self.held.append((sizes, data, counts))
+        self.rows += len(sizes)
+        self.bytes += len(data)
+        if self.rows > TRIE_PHRASES or self.bytes > TRIE_BYTES:
+            self.count()
+
+    def count(self) -> None:
+        """Adds what is held to the states of the tries. What none of them accepts makes
+        another trie."""
+        if not self.held:
+            return
+        sizes, data, counts = map(np.concatenate, zip(*self.held))
+        self.held, self.rows, self.bytes = [], 0, 0
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        phrases = pa.Array.from_buffers(pa.string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        encoded = pc.split_pattern(phrases, " ").flatten().cast(pa.binary()).dictionary_encode()
+        words, codes = encoded.dictionary, encoded.indices.to_numpy()
+        at = np.arange(len(phrases)) * self.size
+        for trie, _, _, visits in self.tries:
+            at = self.visit(trie, visits, words, codes, at, counts)
+        if len(at):
+            new = pc.unique(phrases.take(pa.array(at // self.size)))
+            trie, states = build_trie(self.lang, new)
+            self.tries.append((trie, new, states, np.zeros(len(trie.base), dtype=np.int64)))
+            self.visit(trie, self.tries[-1][3], words, codes, at, counts)
+
+    def visit(self, trie: Trie, visits: np.ndarray, words: pa.Array, codes: np.ndarray, at: np.ndarray,
+              counts: np.ndarray) -> np.ndarray:
+        """Adds to the visits of a trie; the positions that it does not accept."""
+        found, state = walk(trie, words, codes, at, self.size)
+        visits += np.bincount(state, counts[found // self.size], len(visits)).astype(np.int64)
+        return np.setdiff1d(at, found, assume_unique=True)
+
+    def frequent(self, least: int) -> Iterator[pa.RecordBatch]:
+        self.count()
+        for _, phrases, states, visits in self.tries:
+            times = visits[states]
+            full = np.flatnonzero(times >= least)
+            for begin in range(0, len(full), 50_000):
+                some = full[begin:begin + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([self.lang] * len(some), pa.string()), phrases.take(pa.array(some)), pa.array(times[some])],
+                    names=["lang", "phrase", "n"])
 
 
-def count_task(tries, size: int):
-    """Visits of accepting states by (trie, state)."""
+def trie_task(size: int, least: int):
+    """Phrases of packs sorted by language and part that occur at least ``least`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [(key, loaded(row)) for key, row in tries.value]
-        visits = {key: np.zeros(len(trie.base), dtype=np.int64) for key, trie in known}
-        for part in slices(batches, size - 1):
-            for key, trie in known:
-                if trie.lang == part.lang:
-                    visits[key] += np.bincount(advance(trie, part, size), minlength=len(trie.base))
-        for key, counts in visits.items():
-            used = np.flatnonzero(counts)
-            for begin in range(0, len(used), 50_000):
-                some = used[begin:begin + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), key)), pa.array(some), pa.array(counts[some])],
-                    names=["trie", "state", "n"])
+        key, part = None, None
+        for batch in batches:
+            for row, new in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if new != key:
+                    if part:
+                        yield from part.frequent(least)
+                    key, part = new, Counted(new[0], size)
+                sizes, data, counts = (numbers_in(batch.column(2 + k), row, kind)
+                                       for k, kind in enumerate((np.int32, np.uint8, np.int64)))
+                part.add(sizes, data, counts)
+        if part:
+            yield from part.frequent(least)
 
     return run
 
 
-def groups_of(sizes: list[tuple[int, int]], most: int) -> Iterator[list[int]]:
-    """Keys in groups of at most ``most`` bytes, or single ones."""
-    group, held = [], 0
-    for key, size in sizes:
-        if group and held + size > most:
-            yield group
-            group, held = [], 0
-        group.append(key)
-        held += size
-    if group:
-        yield group
-
-
-def counted_phrases(texts: DataFrame, candidates: DataFrame, size: int, least: int, label: str,
-                    group_bytes: int) -> DataFrame:
-    """Candidates (lang, phrase) that occur at least ``least`` times, with their number."""
-    spark = texts.sparkSession
-    built = written_table(candidates.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
-                          .mapInArrow(build_task, BUILT), f"{label}_tries")
-    arrays = built.where(F.col("phrase").isNull())
-    weight = F.length("words") + F.length("base") + F.length("check")
-    sizes = [(row["trie"], row["weight"]) for row in  # one number per trie, that is per TRIE_PHRASES
-             arrays.select("trie", weight.alias("weight")).orderBy("lang", "trie").collect()]
-    counts = []
-    for group in groups_of(sizes, group_bytes):
-        some = arrays.where(F.col("trie").isin(group)).select("trie", "lang", "words", "base", "check")
-        tries = spark.sparkContext.broadcast([(row["trie"], row.asDict()) for row in some.toLocalIterator()])
-        visits = texts.mapInArrow(count_task(tries, size), STATES).groupBy("trie", "state").agg(F.sum("n").alias("n"))
-        counts.append(written_table(visits.where(F.col("n") >= least), f"{label}_counts"))
-        tries.destroy()
-    states = built.where(F.col("phrase").isNotNull()).select("trie", "state", "lang", "phrase")
-    if not counts:
-        return states.select("lang", "phrase", F.lit(0).cast("long").alias("n"))
-    visits = counts[0]
-    for more in counts[1:]:
-        visits = visits.unionByName(more)
-    return written_table(states.join(visits, ["trie", "state"]).select("lang", "phrase", "n"), label)
+def counted_phrases(texts: DataFrame, prior, sieve, size: int, least: int, parts: int, label: str) -> DataFrame:
+    """Phrases (lang, phrase) of ``size`` words that occur at least ``least`` times, with
+    their number."""
+    packed = texts.mapInArrow(pack_task(prior, sieve, size, parts), PACKED)
+    return written_table(packed.repartition("lang", "part").sortWithinPartitions("lang", "part")
+                         .mapInArrow(trie_task(size, least), "lang string, phrase string, n long"), label)
 
 
 # --- scores ------------------------------------------------------------------------
@@ -706,8 +751,8 @@ def collocations(documents: DataFrame, min_count: int = 10, max_words: int = 3,
     ``a``, ``l`` and ``r`` count the phrase and the two parts of its lowest-scoring cut, n
     all words of the language; the score is a^2 / (l r) in millionths. Phrases with fewer
     than ``min_count`` occurrences do not count; phrases that mostly (``share`` percent)
-    occur inside one longer phrase are left out. The driver and each Python worker hold up
-    to ``group_bytes`` of tries at a time.
+    occur inside one longer phrase are left out. A Python worker holds about
+    ``group_bytes`` of tries at a time.
     """
     c = F.col
     spark: SparkSession = documents.sparkSession
@@ -717,14 +762,16 @@ def collocations(documents: DataFrame, min_count: int = 10, max_words: int = 3,
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     positions = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     levels = [words.where(c("n") >= min_count)]
+    frequent = levels[0].select("lang", "phrase")
+    prior = spark.sparkContext.broadcast(bit_set(frequent, hashes_of_table, frequent.count(), 1, "passed_1")[0])
     for size in range(2, max_words + 1):
-        prior = spark.sparkContext.broadcast(frequent_set(levels[-1]))
-        bits = bits_for(positions // 4)
-        sieve = spark.sparkContext.broadcast(bit_set(texts, sieve_source(prior, size), bits, min_count))
-        candidates = written_table(candidates_of(texts, prior, sieve, size, positions), f"candidates_{size}")
-        levels.append(counted_phrases(texts, candidates, size, min_count, f"phrases_{size}", group_bytes))
+        passed, count = bit_set(texts, hashes_of_texts(prior, size), positions, min_count, f"passed_{size}")
+        sieve = spark.sparkContext.broadcast(passed)
+        parts = min(max(LEAST_PARTS, shuffle_parts(spark), count * TRIE_WEIGHT // group_bytes), MOST_PARTS)
+        levels.append(counted_phrases(texts, prior, sieve, size, min_count, parts, f"phrases_{size}"))
         prior.destroy()
-        sieve.destroy()
+        prior = sieve
+    prior.destroy()
     phrases, parts = levels[1], levels[0]
     for level in levels[2:]:
         phrases = phrases.unionByName(level)

@@ -111,3 +111,77 @@ def test_filters_let_all_members_pass():
     again = co.extended(np.repeat(co.word_hashes(words, "en"), 4), np.tile(co.word_hashes(last, "en"), 5))
     assert hashes.tolist() == again.tolist()
     assert set(hashes.tolist()).isdisjoint(co.phrase_hashes(phrases, pa.array(["fr"] * len(phrases))).tolist())
+
+
+def test_work_does_not_grow_with_the_candidates(spark, monkeypatch):
+    """Texts are read as often for one trie a phrase as for few tries, and rare phrases are
+    not written, even by filters too small to tell anything."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(30)]
+    rows = [(" ".join(rng.choice(words) for _ in range(12)), rng.choice(["en", "fr"])) for _ in range(240)]
+    rows += [("new york. new york", lang) for lang in ("en", "fr") for _ in range(6)]
+    table = spark.createDataFrame(rows, "text string, lang string").repartition(2)
+    written, found = co.written_table, []
+
+    def recorded(some, label):
+        out = written(some, label)
+        found[-1].append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(co, "written_table", recorded)
+    monkeypatch.setattr(co, "LEAST_BITS", 6)
+    monkeypatch.setattr(co, "MOST_BITS", 6)
+    for group_bytes in (co.GROUP_BYTES, 1):
+        found.append([])
+        got = co.collocations(table, group_bytes=group_bytes)
+        assert sorted(map(tuple, got.collect())) == brute(rows, 10, 3, 50, 2000)
+    assert found[0] == found[1]
+    assert max(count for label, count in found[0] if label != "words") <= 64
+
+
+def test_hashes_of_several_tasks_are_kept_from_their_number_on(monkeypatch):
+    rng = np.random.default_rng(2)
+    monkeypatch.setattr(co, "HELD_HASHES", 500)
+    hashes = co.mixed(rng.integers(0, 900, 8000, dtype=np.uint64))
+    bits = co.part_bits(0)
+    for least in (1, 10, 400):
+        task = co.deal_task(lambda parts: iter(parts), bits, min(least, co.MOST_COUNT))
+        rows = pa.Table.from_batches([b for some in np.split(hashes, 4) for b in task(np.split(some, 20))])
+        kept = pa.Table.from_batches(co.keep_task(min(least, co.MOST_COUNT))(rows.sort_by("part").to_batches()))
+        got = {(part << 32) + key for part, keys in zip(kept["part"].to_pylist(), kept["keys"].to_pylist())
+               for key in np.frombuffer(keys, dtype=np.uint32).tolist()}
+        wanted = {h >> (32 - bits) for h, n in Counter(hashes.tolist()).items() if n >= min(least, co.MOST_COUNT)}
+        assert got == wanted and sum(kept["n"].to_pylist()) == len(wanted)
+
+
+@pytest.mark.parametrize("size, most", [(2, 50), (3, 7), (2, 10 ** 6)])
+def test_phrases_of_packs_are_counted_by_a_chain_of_tries(monkeypatch, size, most):
+    monkeypatch.setattr(co, "TRIE_PHRASES", most)
+    rng = random.Random(size)
+    words = [f"w{k}" for k in range(9)] + ["é", "x\x00y"]
+    wanted, counted = Counter(), co.Counted("en", size)
+    for _ in range(30):
+        pack = Counter(" ".join(rng.choice(words) for _ in range(size)) for _ in range(20))
+        wanted += pack
+        said = [phrase.encode() for phrase in pack]
+        counted.add(np.array([len(p) for p in said], dtype=np.int32),
+                    np.frombuffer(b"".join(said), dtype=np.uint8), np.array(list(pack.values())))
+    for least in (1, 6):
+        got = [row for batch in counted.frequent(least) for row in batch.to_pylist()]
+        assert {row["phrase"]: row["n"] for row in got} == {p: n for p, n in wanted.items() if n >= least}
+        assert len(got) == len({row["phrase"] for row in got}) and {row["lang"] for row in got} <= {"en"}
+    assert (len(counted.tries) > 1) == (most < 1000)
+
+
+@pytest.mark.parametrize("symbols, parents", [(4, 9), (64, 300), (256, 2000)])
+def test_children_get_states_of_their_own(symbols, parents):
+    rng = np.random.default_rng(symbols)
+    sets = [np.sort(rng.choice(symbols, min(symbols, int(rng.zipf(1.5))), replace=False)) for _ in range(parents)]
+    base, check = np.zeros(2 * symbols + parents, dtype=np.int32), np.full(2 * symbols + parents, -1, dtype=np.int32)
+    check[:parents] = -2
+    owner, children = np.repeat(np.arange(parents), [len(s) for s in sets]), np.concatenate(sets)
+    state, base, check = co.place_children(owner, children, symbols, base, check, rng)
+    assert len(set(state.tolist())) == len(state) and (state >= parents).all()
+    assert (check[state] == owner).all() and (base[owner] + children == state).all()
+    assert base[:parents].min() >= 1 and base.max() + symbols <= len(base)
+    assert (check >= 0).sum() == len(state)
