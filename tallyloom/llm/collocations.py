@@ -171,7 +171,7 @@ class Gathered:
         return self.rows > HELD_ROWS
 
     def merge(self) -> None:
-        table = pa.concat_tables(self.parts).group_by(["lang", "phrase"]).aggregate(
+        table = pa.concat_tables(self.parts).group_by(["lang", "phrase"], use_threads=False).aggregate(
             [("n", "sum"), *[(name, "max") for name in self.columns[3:]]])
         self.parts = [table.rename_columns({"n_sum": "n", **{f"{name}_max": name for name in self.columns[3:]}})
                       .select(self.columns)]
@@ -381,7 +381,8 @@ def bit_set(table: DataFrame, source: HashSource, count: int, least: int, label:
     width = max(min(max((HASH_BITS * found).bit_length(), LEAST_BITS), MOST_BITS) - bits, 3)
     data = np.zeros(1 << (bits + width - 3), dtype=np.uint8)
     size = 1 << (width - 3)
-    for row in kept.select("part", "keys").mapInArrow(bits_task(width), "part int, bits binary").toLocalIterator():
+    full = kept.select("part", "keys").mapInArrow(bits_task(width), "part int, bits binary")
+    for row in full.collect():  # bounded by the number of bits
         data[row["part"] * size:(row["part"] + 1) * size] = np.frombuffer(row["bits"], dtype=np.uint8)
     return BitSet(bits, width, data), found
 
@@ -394,12 +395,12 @@ def hashes_of_table(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 def possible(part: Slice, size: int, prior: BitSet) -> tuple[np.ndarray, np.ndarray]:
     """Positions of owned phrases of ``size`` words whose two parts of one word less pass
     the filter, and the hashes of those phrases."""
-    own = word_hashes(part.words, part.lang)[part.codes]
-    linked = part.linked()
+    words, linked = word_hashes(part.words, part.lang), part.linked()
+    own = words[part.codes]
     hashes, inside = own, np.ones(len(own), dtype=bool)
     for k in range(1, size):
         if k == size - 1:
-            passed = prior.has(hashes) & inside
+            passed = (prior.has(words)[part.codes] if k == 1 else prior.has(hashes)) & inside
         inside = inside[:-1] & linked[k - 1:len(linked) - 1]
         hashes = extended(hashes[:-1], own[k:])
     at = np.flatnonzero(inside & passed[:-1] & passed[1:])
